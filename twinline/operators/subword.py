@@ -30,6 +30,8 @@ VERSIONS = ((0, 1), (0, 2))
 # Merges and vocabulary belong to a model and do not grow with the corpus; each is checked against this
 # many rows before it is sent to the workers.
 MAX_MODEL_ROWS = 2_000_000
+# Rank of a pair that is never joined.
+NEVER = float("inf")
 # Words remembered per Python worker.
 REMEMBERED_WORDS = 500_000
 
@@ -73,27 +75,23 @@ def load_model(
     return Model(ranks, tuple(version), known or None, tuple(glossaries), separator)
 
 
-def _join(symbols: list[str], left: str, right: str) -> list[str]:
-    """Join every ``left right`` neighbour pair, from the left and without overlap."""
-    joined: list[str] = []
-    waiting = False  # the last symbol is a ``left`` that may still be joined
-    for symbol in symbols:
-        if waiting and symbol == right:
-            joined[-1] = left + right
-            waiting = False
-        else:
-            joined.append(symbol)
-            waiting = symbol == left
-    return joined
-
-
 def _merged(word: str, model: Model) -> list[str]:
     """Pieces of one word: join the best-ranked neighbours until no pair has a rank."""
     symbols = [*word[:-1], word[-1] + END] if model.version == (0, 2) else [*word, END]
     if len(symbols) == 1:
         return [word]
-    while ranked := [(model.ranks[p], p) for p in zip(symbols, symbols[1:]) if p in model.ranks]:
-        symbols = _join(symbols, *min(ranked)[1])
+    rank = model.ranks.get
+    ranks = [rank(pair, NEVER) for pair in zip(symbols, symbols[1:])]
+    while ranks and (best := min(ranks)) != NEVER:
+        # All occurrences of the best pair, from the left; a joined symbol never forms that pair again.
+        while best in ranks:
+            at = ranks.index(best)
+            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+            del ranks[at]
+            if at > 0:
+                ranks[at - 1] = rank((symbols[at - 1], symbols[at]), NEVER)
+            if at < len(ranks):
+                ranks[at] = rank((symbols[at], symbols[at + 1]), NEVER)
     *pieces, last = symbols
     if last != END:
         pieces.append(last.replace(END, ""))
