@@ -18,20 +18,25 @@ def unit_offsets(units: DataFrame, corpus: str, unit: str, block: Column, lines:
     ``n_lines`` is the number of lines of the corpus.
     """
     counted = units.select(corpus, unit, block.alias("_block"), lines.cast("long").alias("_lines"))
-    per_block = counted.groupBy(corpus, "_block").agg(F.sum("_lines").alias("_in_block"))
+    counted = counted.filter(F.col(corpus).isNotNull() & F.col("_block").isNotNull())
+    in_block = Window.partitionBy(corpus, "_block").orderBy(unit)
+    running = F.sum("_lines").over(in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = counted.select(
+        corpus, unit, "_block", "_lines", running.alias("_up_to"), F.lead(unit).over(in_block).isNull().alias("_last")
+    )
+    # The last unit of a block knows the block's total. Taking it from the same window, not from an
+    # aggregation of its own, lets both uses share one exchange and one scan of the units.
+    totals = placed.filter("_last").select(corpus, "_block", F.col("_up_to").alias("_in_block"))
     whole = Window.partitionBy(corpus)
     earlier_blocks = whole.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = per_block.select(
+    blocks = totals.select(
         corpus,
         "_block",
         F.coalesce(F.sum("_in_block").over(earlier_blocks), F.lit(0)).alias("_before_block"),
         F.sum("_in_block").over(whole).alias("n_lines"),
     )
-    earlier_units = Window.partitionBy(corpus, "_block").orderBy(unit).rowsBetween(Window.unboundedPreceding, -1)
-    inside = counted.withColumn("_before_unit", F.coalesce(F.sum("_lines").over(earlier_units), F.lit(0)))
-    return inside.join(blocks, [corpus, "_block"]).select(
-        corpus, unit, (F.col("_before_block") + F.col("_before_unit")).alias("lines_before"), "n_lines"
-    )
+    before = F.col("_before_block") + F.col("_up_to") - F.col("_lines")
+    return placed.join(blocks, [corpus, "_block"]).select(corpus, unit, before.alias("lines_before"), "n_lines")
 
 
 def number_by_id(df: DataFrame, corpus: str, key: str, block_bits: int = 14) -> DataFrame:

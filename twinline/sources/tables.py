@@ -71,7 +71,7 @@ def number_pairs(pairs: DataFrame, documents: DataFrame) -> DataFrame:
 
 def numbered_document_pairs(documents: DataFrame) -> DataFrame:
     """As ``document_pairs`` with line numbers; texts are joined to their offsets before the fan-out."""
-    placed = documents.select("source", "doc_id", "text").join(pair_offsets(documents), ["source", "doc_id"])
+    placed = spread(documents.select("source", "doc_id", "text")).join(pair_offsets(documents), ["source", "doc_id"])
     return (
         document_pairs(placed, "lines_before", "n_lines")
         .withColumn("line_no", F.col("lines_before") + F.col("pair_no"))

@@ -15,11 +15,11 @@ KEY = ("source", "doc_id", "pair_no")
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(load(spark, sf, "documents").select("doc_id", "text", "lang", "source"))
+    return load(spark, sf, "documents")
 
 
 def raw_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return document_pairs(documents(spark, sf))
+    return document_pairs(spread(documents(spark, sf)))
 
 
 def clean_pairs(spark: SparkSession, sf: str) -> DataFrame:
@@ -102,7 +102,7 @@ def word_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def word_counts(spark: SparkSession, sf: str) -> DataFrame:
-    words = documents(spark, sf).select(F.explode(F.split("text", "[ \n]", -1)).alias("word")).filter("word <> ''")
+    words = spread(documents(spark, sf)).select(F.explode(F.split("text", "[ \n]", -1)).alias("word")).filter("word <> ''")
     return words.groupBy("word").agg(F.count("*").alias("freq"))
 
 
