@@ -75,6 +75,12 @@ def nonzero_decimal() -> str:
     return rf"[\p{{Nd}}&&[^{zeros}]][\p{{Cn}}&&[{unassigned}]]"
 
 
+@cache
+def blank() -> str:
+    """``str.isspace``, the characters ``str.split`` and ``str.strip`` go by."""
+    return _ranges(_matching(str.isspace))
+
+
 @cache
 def whitespace() -> str:
     """The characters ``str.strip`` removes, as a plain string."""

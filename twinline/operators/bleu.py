@@ -6,11 +6,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from twinline.functions import chars
+
 # Longest n-gram, and the tokenizer's replacements in order (plain text, then patterns).
 ORDER = 4
 PLAIN = (("<skipped>", ""), ("-\n", ""), ("\n", " "), ("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"))
 PATTERNS = (
-    (r"([{-~\[-` -&(-+:-@/])", " $1 "),
+    (r"([{-~\[-`!-&(-+:-@/])", " $1 "),
     (r"([^0-9])([.,])", "$1 $2 "),
     (r"([.,])([^0-9])", " $1 $2"),
     (r"([0-9])(-)", "$1 $2 "),
@@ -23,7 +25,7 @@ def tokenize_13a(text: Column) -> Column:
     text = F.concat(F.lit(" "), text, F.lit(" "))
     for pattern, new in PATTERNS:
         text = F.regexp_replace(text, pattern, F.lit(new))
-    return F.filter(F.split(text, r"\s+", -1), lambda token: token != "")
+    return F.array_remove(F.split(text, f"[{chars.blank()}]+", -1), "")
 
 
 def _with_ngrams(df: DataFrame, side: str) -> DataFrame:
@@ -38,8 +40,30 @@ def _with_ngrams(df: DataFrame, side: str) -> DataFrame:
     return df
 
 
+def _rows(n: int) -> Column:
+    """Rows of one sentence and order: a summary, and its n-grams where they must be counted.
+
+    If the n-grams of either side are all different, the matches are simply the common ones, and no
+    n-gram needs to leave its row.
+    """
+    hyp, ref = F.col(f"h_{n}"), F.col(f"r_{n}")
+    counting = (F.size(F.array_distinct(hyp)) < F.size(hyp)) & (F.size(F.array_distinct(ref)) < F.size(ref))
+
+    def row(gram: Column, **values: Column | int) -> Column:
+        marks = {"n": n, "in_hyp": 0, "in_ref": 0, "matched": 0, "total": 0, "ref_total": 0, **values}
+        columns = [(v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in marks.items()]
+        return F.struct(gram.alias("gram"), *columns)
+
+    direct = F.when(counting, 0).otherwise(F.size(F.array_intersect(hyp, ref)))
+    summary = row(F.lit(None).cast("string"), matched=direct, total=F.size(hyp), ref_total=F.size(ref))
+    grams = F.concat(
+        F.transform(hyp, lambda gram: row(gram, in_hyp=1)), F.transform(ref, lambda gram: row(gram, in_ref=1))
+    )
+    return F.concat(F.array(summary), F.when(counting, grams).otherwise(F.array()))
+
+
 def ngram_counts(scored: DataFrame, key: str = "id") -> DataFrame:
-    """``n, matched, total`` over all sentences plus both lengths, from ``key, hyp, ref`` rows.
+    """``n, matched, total, ref_total`` summed over all sentences, from ``key, hyp, ref`` rows.
 
     Sentences are placed by key once; the n-grams of a sentence are then counted where they are made.
     """
@@ -49,19 +73,14 @@ def ngram_counts(scored: DataFrame, key: str = "id") -> DataFrame:
         key, tokenize_13a(F.col("hyp")).alias("h_1"), tokenize_13a(F.col("ref")).alias("r_1")
     )
     tokenized = _with_ngrams(_with_ngrams(tokenized, "h"), "r")
-
-    def grams(side: str, n: int, in_hyp: int) -> Column:
-        def row(gram: Column) -> Column:
-            marks = {"n": n, "h": in_hyp, "r": 1 - in_hyp}
-            return F.struct(gram.alias("gram"), *[F.lit(value).alias(name) for name, value in marks.items()])
-
-        return F.transform(F.col(f"{side}_{n}"), row)
-
-    every = F.concat(*[grams(side, n, in_hyp) for side, in_hyp in (("h", 1), ("r", 0)) for n in range(1, ORDER + 1)])
-    rows = tokenized.select(key, F.explode(every).alias("g"))
-    per_sentence = rows.groupBy(key, "g.n", "g.gram").agg(F.sum("g.h").alias("h"), F.sum("g.r").alias("r"))
+    # The array is never empty; the outer form only spares a second evaluation that checks this.
+    rows = tokenized.select(key, F.explode_outer(F.concat(*[_rows(n) for n in range(1, ORDER + 1)])).alias("g"))
+    sums = [F.sum(f"g.{name}").alias(name) for name in ("in_hyp", "in_ref", "matched", "total", "ref_total")]
+    per_sentence = rows.groupBy(key, "g.n", "g.gram").agg(*sums)
     return per_sentence.groupBy("n").agg(
-        F.sum(F.least("h", "r")).alias("matched"), F.sum("h").alias("total"), F.sum("r").alias("ref_total")
+        F.sum(F.col("matched") + F.least("in_hyp", "in_ref")).alias("matched"),
+        F.sum("total").alias("total"),
+        F.sum("ref_total").alias("ref_total"),
     )
 
 

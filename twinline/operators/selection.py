@@ -95,7 +95,7 @@ def training_sample(
 
 def tokens(text: Column) -> Column:
     """Blank-separated tokens."""
-    return F.filter(F.split(text, " ", -1), lambda token: token != "")
+    return F.array_remove(F.split(text, " ", -1), "")
 
 
 def max_tokens(pairs: DataFrame, src: int = 150, tgt: int = 150, tokenize=tokens) -> DataFrame:

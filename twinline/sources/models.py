@@ -56,7 +56,7 @@ def read_bpe_vocab(lines: DataFrame, threshold: int | None = None) -> DataFrame:
 
 def vocab_to_counts(lines: DataFrame) -> DataFrame:
     """``token, freq`` from ``token logprob`` lines; anything that is not such an entry is skipped."""
-    blank = f"[{chars.in_bracket(chars.whitespace())}]+"
+    blank = f"[{chars.blank()}]+"
     parts = F.split(F.ltrim(F.col("line"), F.lit(chars.whitespace())), blank, 2)
     fields = with_computed(lines.select("line"), parts=parts).filter(F.size("parts") == 2)
     number = chars.strip(F.col("parts")[1])

@@ -70,8 +70,13 @@ def number_pairs(pairs: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def numbered_document_pairs(documents: DataFrame) -> DataFrame:
-    """As ``document_pairs`` with line numbers; texts are joined to their offsets before the fan-out."""
-    placed = spread(documents.select("source", "doc_id", "text")).join(pair_offsets(documents), ["source", "doc_id"])
+    """As ``document_pairs`` with line numbers; texts are joined to their offsets before the fan-out.
+
+    The join is always by key and spills: document ids are unique, so no source makes a task large.
+    Broadcasting either side would leave the fan-out to the partitions of the other.
+    """
+    offsets = pair_offsets(documents).hint("merge")
+    placed = documents.select("source", "doc_id", "text").join(offsets, ["source", "doc_id"])
     return (
         document_pairs(placed, "lines_before", "n_lines")
         .withColumn("line_no", F.col("lines_before") + F.col("pair_no"))
