@@ -56,7 +56,7 @@ def compare(spark, con, name: str, sf: str) -> str:
         if columns != names:
             line += f"\n   columns {columns} vs {names}"
         ours, theirs = set(map(repr, got)), set(map(repr, wanted))
-        line += f"\n   only spark {sorted(ours - theirs)[:2]}\n   only sql {sorted(theirs - ours)[:2]}"
+        line += f"\n   only spark {str(sorted(ours - theirs)[:2])[:600]}\n   only sql {str(sorted(theirs - ours)[:2])[:600]}"
     return line
 
 

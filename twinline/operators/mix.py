@@ -13,10 +13,13 @@ def _sum(array: Column, term) -> Column:
     return F.aggregate(array, F.lit(0).cast("long"), lambda total, x: total + term(x))
 
 
-def weighted_mix(pairs: DataFrame, weights: Mapping[str, int], stop: str = "all_exhausted") -> DataFrame:
+def weighted_mix(
+    pairs: DataFrame, weights: Mapping[str, int], stop: str = "all_exhausted", sizes: DataFrame | None = None
+) -> DataFrame:
     """Add ``round`` and ``position``: each round takes ``weights[source]`` pairs of every corpus.
 
-    ``pairs`` has ``source, source_ord, line_no, n_lines``. The position is computed in closed form
+    ``pairs`` has ``source, source_ord, line_no, n_lines``; ``sizes`` is any cheaper table with
+    ``source, source_ord, n_lines`` to take the sizes from. The position is computed in closed form
     from the sizes of the corpora, so nothing is ranked, shuffled or sorted. ``first_exhausted`` ends
     the mix where a corpus first cannot give its next pair.
     """
@@ -26,10 +29,14 @@ def weighted_mix(pairs: DataFrame, weights: Mapping[str, int], stop: str = "all_
     if bad or not weights:
         raise ValueError(f"weights must be positive whole numbers: {bad or weights!r}")
     weight = F.coalesce(*[F.when(F.col("source") == name, w) for name, w in weights.items()]).cast("long")
-    used = pairs.filter(F.col("source").isin(list(weights))).withColumn("weight", weight)
 
-    sizes = used.groupBy("source_ord").agg(F.max("n_lines").alias("n"), F.max("weight").alias("w"))
-    corpora = sizes.agg(F.collect_list(F.struct("source_ord", "n", "w"))).scalar()
+    def weighted(df: DataFrame) -> DataFrame:
+        return df.filter(F.col("source").isin(list(weights))).withColumn("weight", weight)
+
+    used = weighted(pairs)
+    per_corpus = weighted(pairs if sizes is None else sizes).groupBy("source_ord")
+    per_corpus = per_corpus.agg(F.max("n_lines").alias("n"), F.max("weight").alias("w"))
+    corpora = per_corpus.agg(F.collect_list(F.struct("source_ord", "n", "w"))).scalar()
 
     whole_rounds = F.floor((F.col("line_no") - 1) / F.col("weight"))
     mixed = used.withColumn("round", whole_rounds).withColumn("_corpora", corpora)

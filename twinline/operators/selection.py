@@ -55,9 +55,18 @@ def train_val_split(pairs: DataFrame, n: Column | int, seed: int | str = 0) -> D
 
 
 def take_sample(df: DataFrame, n: int, key: Column) -> DataFrame:
-    """Exactly ``n`` rows (all, if fewer) with the smallest unique keys."""
-    keyed = df.withColumn("_key", key)
-    return keyed.filter(F.col("_key") <= nth_smallest_key(keyed, "_key", n)).drop("_key")
+    """Exactly ``n`` rows (all, if fewer) with the smallest unique keys.
+
+    Two passes: count by prefix, then keep every row below the prefix the ``n``-th key lies in and rank
+    the rows of that prefix. Only the rows up to there are shuffled.
+    """
+    keyed = df.withColumn("_key", key).withColumn("prefix", _prefix("_key"))
+    edge = _counts_by_prefix(keyed, "_key").filter(F.col("before") < n).agg(F.max(F.struct("prefix", "before")))
+    edge = edge.scalar()
+    candidates = keyed.filter(F.col("prefix") <= edge["prefix"])
+    rank = F.row_number().over(Window.partitionBy("prefix").orderBy("_key"))
+    wanted = (F.col("prefix") < edge["prefix"]) | (F.col("_rank") <= n - edge["before"])
+    return candidates.withColumn("_rank", rank).filter(wanted).drop("_key", "_rank", "prefix")
 
 
 def shuffle_corpus(pairs: DataFrame, seed: int | str = 0, unique: Sequence[str] = ()) -> DataFrame:

@@ -244,39 +244,90 @@ merges AS (
   QUALIFY rank < 2000
 )
 """
-SEGMENTS = """
-vocabulary AS (
-  SELECT DISTINCT unnest(string_split(text, ' ')) AS word FROM sentences
+VOCABULARY = """
+occurrences AS (
+  SELECT source, doc_id, pair_no, side, unnest(string_split(text, ' ')) AS word,
+         generate_subscripts(string_split(text, ' '), 1) AS n
+  FROM sentences
 ),
+vocabulary AS (SELECT DISTINCT word AS part FROM occurrences WHERE word <> '')
+"""
+SEGMENTS = """
 joined AS (
-  SELECT word, chr(2) || array_to_string(string_split(word, ''), chr(3) || chr(2)) || chr(3) || chr(2) || '</w>' || chr(3) AS symbols
-  FROM vocabulary WHERE word <> ''
+  SELECT part, chr(2) || array_to_string(string_split(part, ''), chr(3) || chr(2)) || chr(3) || chr(2) || '</w>' || chr(3) AS symbols
+  FROM vocabulary
   UNION ALL
-  SELECT word, replace(symbols, chr(2) || best.l || chr(3) || chr(2) || best.r || chr(3), chr(2) || best.l || best.r || chr(3))
+  SELECT part, replace(symbols, chr(2) || best.l || chr(3) || chr(2) || best.r || chr(3), chr(2) || best.l || best.r || chr(3))
   FROM (
-    SELECT p.word, p.symbols, min({'rank': m.rank, 'l': m.l, 'r': m.r}) AS best
+    SELECT p.part, p.symbols, min({'rank': m.rank, 'l': m.l, 'r': m.r}) AS best
     FROM (
-      SELECT word, symbols, unnest(list_zip(parts[:-2], parts[2:])) AS pair
-      FROM (SELECT word, symbols, string_split(symbols[2:-2], chr(3) || chr(2)) AS parts FROM joined)
+      SELECT part, symbols, unnest(list_zip(syms[:-2], syms[2:])) AS pair
+      FROM (SELECT part, symbols, string_split(symbols[2:-2], chr(3) || chr(2)) AS syms FROM joined)
     ) p JOIN merges m ON m.l = p.pair[1] AND m.r = p.pair[2]
-    GROUP BY p.word, p.symbols
+    GROUP BY p.part, p.symbols
   )
 ),
-finished AS (SELECT word, arg_min(symbols, length(symbols)) AS symbols FROM joined GROUP BY word),
-segments AS (
-  SELECT word, array_to_string(list_filter(string_split(replace(symbols[2:-2], '</w>', ''), chr(3) || chr(2)), lambda s: s <> ''), '@@ ') AS pieces
+finished AS (SELECT part, arg_min(symbols, length(symbols)) AS symbols FROM joined GROUP BY part),
+segmented AS (
+  SELECT part, list_filter(string_split(replace(symbols[2:-2], '</w>', ''), chr(3) || chr(2)), lambda s: s <> '') AS pieces
   FROM finished
-),
+)
+"""
+WHOLE_WORDS = "segments AS (SELECT part AS word, array_to_string(pieces, '@@ ') AS pieces FROM segmented)"
+ENCODED = """
+encoded AS (
+  SELECT o.source, o.doc_id, o.pair_no, o.side, string_agg(s.pieces, ' ' ORDER BY o.n) AS encoded
+  FROM occurrences o JOIN segments s ON o.word = s.word GROUP BY ALL
+)
+"""
+# Words around glossary terms; the parts are segmented on their own, the terms stay whole.
+GLOSSARY = """
 occurrences AS (
   SELECT source, doc_id, pair_no, side, unnest(string_split(text, ' ')) AS word,
          generate_subscripts(string_split(text, ' '), 1) AS n
   FROM sentences
 ),
-encoded AS (
-  SELECT o.source, o.doc_id, o.pair_no, o.side, string_agg(s.pieces, ' ' ORDER BY o.n) AS encoded
-  FROM occurrences o JOIN segments s ON o.word = s.word GROUP BY ALL
+cut AS (
+  SELECT word, unnest(parts) AS part, generate_subscripts(parts, 1) AS k
+  FROM (SELECT word, list_filter(string_split(regexp_replace(word, '(tion|[0-9]+)', chr(1) || '\\1' || chr(1), 'g'), chr(1)),
+                                 lambda s: s <> '') AS parts
+        FROM (SELECT DISTINCT word FROM occurrences WHERE word <> ''))
+),
+vocabulary AS (SELECT DISTINCT part FROM cut WHERE NOT regexp_full_match(part, 'tion|[0-9]+'))
+"""
+AROUND_TERMS = """
+segments AS (
+  SELECT c.word, string_agg(coalesce(array_to_string(s.pieces, '@@ '), c.part), '@@ ' ORDER BY c.k) AS pieces
+  FROM cut c LEFT JOIN segmented s ON c.part = s.part GROUP BY c.word
 )
 """
+# Pieces a vocabulary does not know fall apart into the pair they were merged from, again and again.
+KNOWN = f"""
+{WORDS.strip()},
+known AS (
+  SELECT token FROM (
+    SELECT word AS token, freq FROM counts
+    UNION ALL SELECT left(word, n) || '@@', freq FROM counts, (VALUES (1), (2), (3)) lengths(n) WHERE length(word) > n)
+  GROUP BY token HAVING sum(freq) >= 20
+)
+"""
+UNDONE = """
+undone AS (
+  SELECT part AS word, piece, k = len(pieces) AS final, lpad(CAST(k AS VARCHAR), 5, '0') AS path
+  FROM (SELECT part, pieces, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS k FROM segmented)
+  UNION ALL
+  SELECT u.word, CASE WHEN half = 0 THEN m.l WHEN u.final THEN left(m.r, length(m.r) - 4) ELSE m.r END,
+         u.final AND half = 1, u.path || half
+  FROM undone u JOIN merges m ON m.l || m.r = u.piece || CASE WHEN u.final THEN '</w>' ELSE '' END,
+       (VALUES (0), (1)) halves(half)
+  WHERE NOT EXISTS (SELECT 1 FROM known WHERE token = u.piece || CASE WHEN u.final THEN '' ELSE '@@' END)
+),
+leaves AS (
+  SELECT * FROM undone u
+  WHERE NOT EXISTS (SELECT 1 FROM undone c WHERE c.word = u.word AND c.path = u.path || '0')
+),
+segments AS (SELECT word, string_agg(piece, '@@ ' ORDER BY path) AS pieces FROM leaves GROUP BY word)
+"""
 
 
 def _recursive(select: str, *ctes: str) -> str:
@@ -405,7 +456,7 @@ ORACLES: dict[str, str] = {
     ),
     "first_case_normalize": _sql(f"SELECT source, line_no, src, {CASED} AS tgt FROM marked"),
     "recode_html_escape_chars": """
-        SELECT page_id, replace(replace(replace(replace(html, '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&amp;', '&') AS src,
+        SELECT page_id, regexp_replace(replace(replace(replace(html, '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&amp;?', '&', 'g') AS src,
                url AS tgt FROM pages""",
     "single_word_punctuation": _sql(_augmented("marked_clean", True, False)),
     "lowercase": _sql(_augmented("marked_clean", False, True)),
@@ -477,9 +528,16 @@ ORACLES: dict[str, str] = {
     "find_text_exact": _sql(
         f"SELECT * FROM sentences WHERE trim(lower(text), {WS}) = 'in in oredble ea.'", NUMBERED_SENTENCES
     ),
-    "bpe_encode": _recursive("SELECT * FROM encoded", LINES, MERGES, SEGMENTS),
+    "bpe_encode": _recursive("SELECT * FROM encoded", LINES, MERGES, VOCABULARY, SEGMENTS, WHOLE_WORDS, ENCODED),
     "bpe_encode_line": _recursive(
-        "SELECT * REPLACE ('  ' || encoded || ' ' || chr(13) AS encoded) FROM encoded", LINES, MERGES, SEGMENTS
+        "SELECT * REPLACE ('  ' || encoded || ' ' || chr(13) AS encoded) FROM encoded",
+        LINES, MERGES, VOCABULARY, SEGMENTS, WHOLE_WORDS, ENCODED,
+    ),
+    "bpe_encode_vocab": _recursive(
+        "SELECT * FROM encoded", LINES, MERGES, KNOWN, VOCABULARY, SEGMENTS, UNDONE, ENCODED
+    ),
+    "bpe_encode_glossaries": _recursive(
+        "SELECT * FROM encoded", LINES, MERGES, GLOSSARY, SEGMENTS, AROUND_TERMS, ENCODED
     ),
     "bpe_decode": _sql(
         f"""SELECT {ROW}, side, array_to_string(list_filter(string_split(text, ' '), lambda t: t <> ''), ' ') AS decoded
@@ -501,5 +559,10 @@ ORACLES: dict[str, str] = {
              UNION ALL SELECT doc_id * 16777216 + pair_no, 'r', tgt FROM raw)""",
         TOKENIZED,
     ),
+    "sentence_lookup": f"""WITH {EVAL.strip()},
+        chosen AS (SELECT line_no, text AS ref, replace(text, ' the', '') AS hyp FROM eval_sets WHERE lang = 'en' AND line_no = 4),
+        scored AS (SELECT line_no AS id, 'h' AS which, hyp AS text FROM chosen UNION ALL SELECT line_no, 'r', ref FROM chosen),
+        {TOKENIZED.strip()}
+        SELECT line_no, ref, hyp, bleu FROM chosen, bleu""",
     "write_hypotheses": _sql("SELECT row_number() OVER (ORDER BY doc_id, pair_no) AS line_no, src AS line FROM raw"),
 }

@@ -266,7 +266,8 @@ def train_val_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def shuffle_corpus(spark: SparkSession, sf: str) -> DataFrame:
-    return _rows(selection.shuffle_corpus(_distinct(spark, sf), seed=1), "position")
+    pairs = scratch.materialize(_distinct(spark, sf).select(*KEY, "src", "tgt"), "distinct")
+    return _rows(selection.shuffle_corpus(pairs, seed=1), "position")
 
 
 def source_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
@@ -285,14 +286,14 @@ def _weights() -> dict[str, int]:
     return {f"src{n}": 1 + n % 5 for n in range(20)}
 
 
-def weighted_mix(spark: SparkSession, sf: str) -> DataFrame:
-    mixed = mix.weighted_mix(views.numbered_pairs(spark, sf), _weights())
-    return mixed.select("position", "round", "source", "line_no", "src", "tgt")
-
+def _mixed(stop: str) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        sizes = tables.pair_offsets(views.documents(spark, sf))
+        sizes = sizes.withColumn("source_ord", tables.corpus_number(F.col("source")))
+        mixed = mix.weighted_mix(views.numbered_pairs(spark, sf), _weights(), stop, sizes)
+        return mixed.select("position", "round", "source", "line_no", "src", "tgt")
 
-def weighted_mix_first_exhausted(spark: SparkSession, sf: str) -> DataFrame:
-    mixed = mix.weighted_mix(views.numbered_pairs(spark, sf), _weights(), stop="first_exhausted")
-    return mixed.select("position", "round", "source", "line_no", "src", "tgt")
+    return run
 
 
 def training_sample(spark: SparkSession, sf: str) -> DataFrame:
@@ -369,8 +370,9 @@ def corpus_bleu(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sentence_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    """Sentence 3 (0-based) of the evaluation set, its upper-case form as the hypothesis."""
-    pairs = eval_pairs(spark, sf).select("line_no", F.col("src").alias("ref"), F.initcap("src").alias("hyp"))
+    """Sentence 3 (0-based) of the evaluation set, a damaged copy as the hypothesis."""
+    damaged = F.replace("src", F.lit(" the"), F.lit(""))
+    pairs = eval_pairs(spark, sf).select("line_no", F.col("src").alias("ref"), damaged.alias("hyp"))
     chosen = bleu.sentence_lookup(pairs, 3)
     score = bleu.corpus_bleu(chosen, "line_no").select("bleu").scalar()
     return chosen.select("line_no", "ref", "hyp", score.alias("bleu"))
@@ -427,8 +429,8 @@ QUERIES: dict[str, Query] = {
     "shuffle_corpus": shuffle_corpus,
     "source_fingerprint": source_fingerprint,
     "sources_changed": sources_changed,
-    "weighted_mix": weighted_mix,
-    "weighted_mix_first_exhausted": weighted_mix_first_exhausted,
+    "weighted_mix": _mixed("all_exhausted"),
+    "weighted_mix_first_exhausted": _mixed("first_exhausted"),
     "training_sample": training_sample,
     "max_tokens": max_tokens,
     "find_text": _found("Tion ou", exact=False),

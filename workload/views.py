@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from twinline.operators import numbering
@@ -53,17 +55,17 @@ def _first_word(text: Column) -> Column:
 def conversation_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Each user turn with the turn after it: another corpus, in a table of its own."""
     turns = load(spark, sf, "conversations")
-    after = F.lead(F.struct("turn", "role", "text")).over(Window.partitionBy("conv_id").orderBy("turn"))
-    pairs = turns.withColumn("next", after).filter(
-        (F.col("role") == "user") & (F.col("next.role") == "assistant") & (F.col("next.turn") == F.col("turn") + 1)
+    asked = turns.filter("role = 'user'").select("conv_id", "turn", F.col("text").alias("src"))
+    answers = turns.filter("role = 'assistant'").select(
+        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("tgt")
     )
-    return pairs.select(
+    return asked.join(answers, ["conv_id", "turn"]).select(
         F.lit("conv").alias("source"),
         F.lit(1000).alias("source_ord"),
         F.col("conv_id").alias("doc_id"),
         F.col("turn").cast("int").alias("pair_no"),
-        F.col("text").alias("src"),
-        F.col("next.text").alias("tgt"),
+        "src",
+        "tgt",
     )
 
 
@@ -159,8 +161,15 @@ def merge_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def model_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
-    """``token, freq`` of whole words that are frequent, as a vocabulary for out-of-vocabulary splitting."""
-    return models.read_bpe_vocab(count_lines(spark, sf), threshold=20)
+    """``token, freq`` of frequent words and frequent beginnings of words, from ``token freq`` lines."""
+    counts = word_counts(spark, sf)
+    starts = [
+        counts.filter(F.length("word") > n).select(F.concat(F.left("word", F.lit(n)), F.lit("@@")).alias("word"), "freq")
+        for n in (1, 2, 3)
+    ]
+    tokens = reduce(DataFrame.unionByName, starts, counts).groupBy("word").agg(F.sum("freq").alias("freq"))
+    lines = tokens.select(F.concat_ws(" ", "word", F.col("freq").cast("string")).alias("line"))
+    return models.read_bpe_vocab(lines, threshold=20)
 
 
 def piece_tokens(text: Column) -> Column:
