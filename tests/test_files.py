@@ -7,7 +7,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from twinline.plans import build
+from twinline.__main__ import main as cli
+from twinline.plans import build, search
 from twinline.plans.config import manifest, pipeline_from_config
 from twinline.sources import catalogue, scratch, text
 
@@ -189,6 +190,8 @@ def test_whole_build(spark, tmp_path, configured):
     assert not build.run(spark, plan, corpora, out, state)
     written = text.read_parallel(spark, f"{out}/file=src-val", f"{out}/file=tgt-val")
     assert {(r["src"], r["tgt"]) for r in written.collect()} == {k for k, r in got.items() if r["split"] == "val"}
+    sample = build.sentence_sample(built, plan)
+    assert sample.count() == 2 * (44 - 9 + 2) and sample.filter("text = ' raw '").count() == 1
     with_copies = build.build_corpus(spark, plan, corpora, remove_duplicates=False).pairs
     assert with_copies.count() == 45 and with_copies.filter("split = 'val'").count() == 9
 
@@ -256,3 +259,29 @@ def test_scratch_follows_the_session_setting(spark):
     assert scratch.scratch_root(spark) == (root.rstrip("/") if root else spark.conf.get(scratch.SETTING))
     first, second = (scratch.fresh_path(spark, "x") for _ in range(2))
     assert first != second
+
+
+def test_search_in_files(spark, tmp_path):
+    src, tgt = _file(tmp_path / "s", "One\nHELLO you\n"), _file(tmp_path / "t", " hello \nDue\nhello extra")
+    files = {"a": (src, tgt), "b": (tgt, src)}
+    hits = {tuple(r) for r in search.find_in_files(spark, files, "Hello").collect()}
+    assert hits == {
+        ("a", "src", 2, "HELLO you"), ("a", "tgt", 1, " hello "), ("a", "tgt", 3, "hello extra"),
+        ("b", "tgt", 2, "HELLO you"), ("b", "src", 1, " hello "), ("b", "src", 3, "hello extra"),
+    }
+    assert search.find_in_files(spark, files, "HELLO", exact=True).count() == 2
+
+
+def test_command_line(spark, tmp_path, configured, capsys):
+    conf, folders = configured
+    config = _file(tmp_path / "conf.json", json.dumps(conf))
+    folder = [f"--folder={name}={path}" for name, path in folders.items()]
+    build_args = ["build", "--config", config, *folder, "--out", str(tmp_path / "cli"), "--state", str(tmp_path / "st")]
+    cli(build_args)
+    cli(build_args)
+    cli(["find", "--config", config, *folder, "--text", "yes"])
+    cli(["bleu", "--hyp", f"{folders['b-corpus']}/x.en", "--ref", f"{folders['b-corpus']}/x.en", "--sentence", "0"])
+    out = capsys.readouterr().out
+    assert "written to" in out and "no changes in sources" in out
+    assert "b-corpus (src):2 => Yes" in out
+    assert "hypothesis> Hello number 1" in out and "BLEU score:" in out

@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from twinline.functions import chars
 from twinline.operators.selection import sentences
 
 
-def find_text(pairs: DataFrame, text: str, exact: bool = False, position: tuple[str, ...] = ("source", "line_no")) -> DataFrame:
-    """Lines of either side that contain ``text``, or equal it when ``exact``, ignoring case.
+def matches(line: Column, wanted: str, exact: bool = False) -> Column:
+    """The line contains the text, or stripped equals it when ``exact``, ignoring case."""
+    lowered, wanted = F.lower(line), wanted.lower()
+    return chars.strip(lowered) == wanted if exact else lowered.contains(wanted)
 
-    Returns ``position..., side, text``. Narrow: number the few matches afterwards where line numbers
-    cost a join.
+
+def find_text(
+    pairs: DataFrame, text: str, exact: bool = False, position: tuple[str, ...] = ("source", "line_no")
+) -> DataFrame:
+    """Lines of either side that match ``text``: ``position..., side, text``.
+
+    Narrow. Where line numbers cost a join, number the few matches afterwards.
     """
-    lines = sentences(pairs, *position)
-    wanted = F.lit(text.lower())
-    lowered = F.lower("text")
-    return lines.filter(chars.strip(lowered) == wanted if exact else lowered.contains(wanted))
+    return sentences(pairs, *position).filter(matches(F.col("text"), text, exact))

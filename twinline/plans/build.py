@@ -6,10 +6,9 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from twinline.operators import merge, selection
-from twinline.operators.sides import swap_sides
 from twinline.plans.config import CATALOGUE_PREFIX, FOLDER_PREFIX, Plan, manifest
 from twinline.sources import catalogue as catalogues
 from twinline.sources import text
@@ -25,7 +24,7 @@ class Built:
     weighted: DataFrame | None  # weighted corpora as they are
 
 
-def corpus_folder(plan: Plan, name: str, folders: Mapping[str, str], listing: DataFrame | None) -> str:
+def corpus_folder(plan: Plan, name: str, folders: Mapping[str, str], listing: DataFrame | None = None) -> str:
     """Folder of a corpus: a local address, one given in ``folders``, or one named in a catalogue."""
     if name in folders:
         return folders[name]
@@ -37,15 +36,15 @@ def corpus_folder(plan: Plan, name: str, folders: Mapping[str, str], listing: Da
     raise LookupError(f"no folder known for {name!r}")
 
 
-def read_corpus(spark: SparkSession, plan: Plan, folder: str) -> DataFrame:
-    """Numbered raw pairs of one folder, sides exchanged where a reversed build asks for it.
+def corpus_files(spark: SparkSession, plan: Plan, folder: str) -> Row:
+    """The two files of a folder, exchanged where a reversed build asks for it.
 
     Files found by their language ending already are on the right side.
     """
     [files] = catalogues.discover_corpora(spark, folder, plan.src_lang, plan.tgt_lang).collect()
-    pairs = text.read_parallel(spark, files["src_path"], files["tgt_path"])
-    named = files["src_by_lang"] or files["tgt_by_lang"]
-    return swap_sides(pairs) if plan.reverse and not named else pairs
+    if plan.reverse and not (files["src_by_lang"] or files["tgt_by_lang"]):
+        return Row(src_path=files["tgt_path"], tgt_path=files["src_path"])
+    return Row(src_path=files["src_path"], tgt_path=files["tgt_path"])
 
 
 def read_corpora(
@@ -53,9 +52,9 @@ def read_corpora(
 ) -> dict[str, DataFrame]:
     """Raw pairs of every corpus with ``source, source_ord, line_no, n_lines``."""
     return {
-        c.name: read_corpus(spark, plan, corpus_folder(plan, c.name, folders or {}, listing)).withColumns(
-            {"source": F.lit(c.name), "source_ord": F.lit(c.source_ord)}
-        )
+        c.name: text.read_parallel(
+            spark, *corpus_files(spark, plan, corpus_folder(plan, c.name, folders or {}, listing))
+        ).withColumns({"source": F.lit(c.name), "source_ord": F.lit(c.source_ord)})
         for c in plan.corpora
     }
 
@@ -100,6 +99,18 @@ def build_corpus(
     return Built(pairs.withColumn("split", split), stats, as_they_are)
 
 
+def sentence_sample(built: Built, plan: Plan, seed: int | str = 0) -> DataFrame:
+    """Sentences for training a subword model: from both sides of the training and the weighted pairs."""
+    columns = ["source", "line_no", "aug_ord", "src", "tgt"]
+    parts = []
+    if not plan.all_weighted:
+        parts.append(built.pairs.filter("split = 'train'").select(*columns))
+    if built.weighted is not None:
+        parts.append(built.weighted.withColumn("aug_ord", F.lit(0)).select(*columns))
+    pairs = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return selection.training_sample(pairs, columns[:3], plan.input_sentence_size, seed)
+
+
 def export(built: Built, path: str) -> None:
     """Aligned text files of both splits in shuffled (key) order."""
     text.write_parallel(built.pairs, path, ["key", *merge.POSITION], split=F.col("split"))

@@ -25,8 +25,7 @@ def corpus_number(source: Column) -> Column:
     return F.regexp_extract(source, r"(\d+)$", 1).cast("int")
 
 
-def _line_pairs(text: Column) -> Column:
-    lines = F.split(text, "\n", -1)
+def _line_pairs(lines: Column) -> Column:
     return F.arrays_zip(
         F.filter(lines, lambda _, i: i % 2 == 0).alias("src"),
         F.filter(lines, lambda _, i: i % 2 == 1).alias("tgt"),
@@ -39,14 +38,13 @@ def line_count(text: Column) -> Column:
 
 def document_pairs(documents: DataFrame, *carry: str) -> DataFrame:
     """``source, source_ord, doc_id, pair_no, src, tgt``: odd lines paired with the line below."""
-    exploded = documents.select(
-        "source", "doc_id", *carry, F.posexplode(_line_pairs(F.col("text"))).alias("pos", "pair")
-    )
+    kept = ["source", "source_ord", "doc_id", *carry]
+    lines = documents.withColumns(
+        {"source_ord": corpus_number(F.col("source")), "lines": F.split("text", "\n", -1)}
+    ).select(*kept, "lines")
+    exploded = lines.select(*kept, F.posexplode_outer(_line_pairs(F.col("lines"))).alias("pos", "pair"))
     return exploded.filter("pair.tgt IS NOT NULL").select(
-        "source",
-        corpus_number(F.col("source")).alias("source_ord"),
-        "doc_id",
-        *carry,
+        *kept,
         (F.col("pos") + 1).alias("pair_no"),
         F.col("pair.src").alias("src"),
         F.col("pair.tgt").alias("tgt"),

@@ -379,7 +379,7 @@ ORACLES: dict[str, str] = {
     "read_parallel": _sql(
         "SELECT row_number() OVER (ORDER BY source_ord, doc_id, pair_no) AS line_no, src, tgt FROM raw"
     ),
-    "pipeline_from_config": _sql(
+    "configured_corpora": _sql(
         f"""
         SELECT source, doc_id, pair_no, aug_ord, src, tgt FROM ({_augmented('s0', False, True, ROW)})
         UNION ALL

@@ -113,7 +113,8 @@ def language_map(spark: SparkSession, sf: str) -> DataFrame:
     return languages.with_language(docs)
 
 
-def pipeline_from_config(spark: SparkSession, sf: str) -> DataFrame:
+def configured_corpora(spark: SparkSession, sf: str) -> DataFrame:
+    """A configuration with global and per-corpus operators and a weight, applied to the documents."""
     plan = config.pipeline_from_config(CONFIGURED)
     pairs = merge.preprocess_by_source(views.raw_pairs(spark, sf), plan.chains)
     return _rows(pairs, F.col("aug_ord").cast("bigint").alias("aug_ord"))
@@ -380,7 +381,7 @@ def sentence_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "read_parallel": read_parallel,
-    "pipeline_from_config": pipeline_from_config,
+    "configured_corpora": configured_corpora,
     "language_map": language_map,
     "with_line_number": with_line_number,
     "count_lines": count_lines,
