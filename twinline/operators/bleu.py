@@ -40,26 +40,21 @@ def _with_ngrams(df: DataFrame, side: str) -> DataFrame:
     return df
 
 
-def _rows(n: int) -> Column:
-    """Rows of one sentence and order: a summary, and its n-grams where they must be counted.
+def _of_order(n: int) -> Column:
+    """One order of one sentence: its totals, and its n-grams (both sides) where they must be counted.
 
     If the n-grams of either side are all different, the matches are simply the common ones, and no
     n-gram needs to leave its row.
     """
     hyp, ref = F.col(f"h_{n}"), F.col(f"r_{n}")
     counting = (F.size(F.array_distinct(hyp)) < F.size(hyp)) & (F.size(F.array_distinct(ref)) < F.size(ref))
-
-    def row(gram: Column, **values: Column | int) -> Column:
-        marks = {"n": n, "in_hyp": 0, "in_ref": 0, "matched": 0, "total": 0, "ref_total": 0, **values}
-        columns = [(v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in marks.items()]
-        return F.struct(gram.alias("gram"), *columns)
-
-    direct = F.when(counting, 0).otherwise(F.size(F.array_intersect(hyp, ref)))
-    summary = row(F.lit(None).cast("string"), matched=direct, total=F.size(hyp), ref_total=F.size(ref))
-    grams = F.concat(
-        F.transform(hyp, lambda gram: row(gram, in_hyp=1)), F.transform(ref, lambda gram: row(gram, in_ref=1))
+    return F.struct(
+        F.lit(n).alias("n"),
+        F.when(counting, F.concat(hyp, ref)).otherwise(F.array()).alias("grams"),
+        F.when(counting, 0).otherwise(F.size(F.array_intersect(hyp, ref))).alias("matched"),
+        F.size(hyp).alias("total"),
+        F.size(ref).alias("ref_total"),
     )
-    return F.concat(F.array(summary), F.when(counting, grams).otherwise(F.array()))
 
 
 def ngram_counts(scored: DataFrame, key: str = "id") -> DataFrame:
@@ -73,10 +68,15 @@ def ngram_counts(scored: DataFrame, key: str = "id") -> DataFrame:
         key, tokenize_13a(F.col("hyp")).alias("h_1"), tokenize_13a(F.col("ref")).alias("r_1")
     )
     tokenized = _with_ngrams(_with_ngrams(tokenized, "h"), "r")
-    # The array is never empty; the outer form only spares a second evaluation that checks this.
-    rows = tokenized.select(key, F.explode_outer(F.concat(*[_rows(n) for n in range(1, ORDER + 1)])).alias("g"))
-    sums = [F.sum(f"g.{name}").alias(name) for name in ("in_hyp", "in_ref", "matched", "total", "ref_total")]
-    per_sentence = rows.groupBy(key, "g.n", "g.gram").agg(*sums)
+    orders = tokenized.select(key, F.inline(F.array(*[_of_order(n) for n in range(1, ORDER + 1)])))
+    # Outer: an order with nothing to count keeps one row, without an n-gram.
+    grams = orders.select(
+        key, "n", "matched", "total", "ref_total", F.posexplode_outer("grams").alias("place", "gram")
+    )
+    first = F.coalesce(F.col("place"), F.lit(0)) == 0
+    once = [F.sum(F.when(first, F.col(name)).otherwise(0)).alias(name) for name in ("matched", "total", "ref_total")]
+    in_hyp, in_ref = F.count_if(F.col("place") < F.col("total")), F.count_if(F.col("place") >= F.col("total"))
+    per_sentence = grams.groupBy(key, "n", "gram").agg(in_hyp.alias("in_hyp"), in_ref.alias("in_ref"), *once)
     return per_sentence.groupBy("n").agg(
         F.sum(F.col("matched") + F.least("in_hyp", "in_ref")).alias("matched"),
         F.sum("total").alias("total"),

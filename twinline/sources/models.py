@@ -13,6 +13,9 @@ DEFAULT_VERSION = (0, 1)
 SPECIAL_TOKENS = ("<unk>", "<s>", "</s>")
 LINE_EDGE = "\r\n "
 
+# Beyond this a count would not fit 64 bits (a log-probability is at most 0 anyway).
+LARGEST_LOGPROB = 29.0
+
 
 def _fields(line: Column) -> Column:
     return F.split(F.trim(line, F.lit(LINE_EDGE)), " ", -1)
@@ -64,5 +67,5 @@ def vocab_to_counts(lines: DataFrame) -> DataFrame:
     is_number = number.rlike(r"^[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?$")
     valued = with_computed(
         fields, token=F.col("parts")[0], logprob=F.when(is_number, number.try_cast("double"))
-    ).filter(F.col("logprob").isNotNull() & ~F.col("token").isin(*SPECIAL_TOKENS))
+    ).filter((F.col("logprob") < LARGEST_LOGPROB) & ~F.col("token").isin(*SPECIAL_TOKENS))
     return valued.select("token", (F.floor(F.exp("logprob") * 1_000_000) + 1).cast("bigint").alias("freq"))
