@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from twinline.llm import odd_sketch, packing
+from twinline.llm import cover_tree, odd_sketch, packing, topk
 from twinline.sources.tables import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,14 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op3_norm_sorted_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return topk.exact_topk(load(spark, sf, "embeddings"), "vec_id % 20 = 0", k=20, scale=64)
+
+
+def op7_cover_tree(spark: SparkSession, sf: str) -> DataFrame:
+    return cover_tree.link_counts(load(spark, sf, "embeddings"), cosine=0.9)
+
+
 def op8_odd_sketch(spark: SparkSession, sf: str) -> DataFrame:
     return odd_sketch.near_duplicates(load(spark, sf, "documents"), width=3, percent=85)
 
@@ -27,6 +35,8 @@ def op9_retrieval_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_norm_sorted_topk": op3_norm_sorted_topk,
+    "op7_cover_tree": op7_cover_tree,
     "op8_odd_sketch": op8_odd_sketch,
     "op9_retrieval_packing": op9_retrieval_packing,
 }
