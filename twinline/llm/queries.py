@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from twinline.llm import cover_tree, odd_sketch, packing, topk
+from twinline.llm import cover_tree, mixing, odd_sketch, packing, secrets, topk
 from twinline.sources.tables import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op3_norm_sorted_topk(spark: SparkSession, sf: str) -> DataFrame:
     return topk.exact_topk(load(spark, sf, "embeddings"), "vec_id % 20 = 0", k=20, scale=64)
 
 
+def op6_ownership_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.digest(secrets.find_secrets(load(spark, sf, "documents")))
+
+
 def op7_cover_tree(spark: SparkSession, sf: str) -> DataFrame:
     return cover_tree.link_counts(load(spark, sf, "embeddings"), cosine=0.9)
 
@@ -34,9 +38,15 @@ def op9_retrieval_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(load(spark, sf, "documents"), tokenizer_path())
 
 
+def op10_entropy_balancing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(load(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
+
+
 QUERIES: dict[str, Query] = {
     "op3_norm_sorted_topk": op3_norm_sorted_topk,
+    "op6_ownership_secrets": op6_ownership_secrets,
     "op7_cover_tree": op7_cover_tree,
     "op8_odd_sketch": op8_odd_sketch,
     "op9_retrieval_packing": op9_retrieval_packing,
+    "op10_entropy_balancing": op10_entropy_balancing,
 }

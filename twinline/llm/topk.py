@@ -27,7 +27,7 @@ def scaled(embeddings: DataFrame, scale: int) -> DataFrame:
     finite = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     kept = embeddings.filter("vec_id IS NOT NULL AND embedding IS NOT NULL").filter(finite)
     whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("bigint"))
-    rows = kept.select(F.col("vec_id").cast("bigint"), whole.alias("v"))
+    rows = kept.select(F.col("vec_id").cast("bigint"), whole.alias("v")).groupBy("vec_id").agg(F.max("v").alias("v"))
     return rows.withColumn("n2", F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
 
 
@@ -156,18 +156,15 @@ def exact_topk(embeddings: DataFrame, is_query: str, k: int = 20, scale: int = 6
     query, which are ranked by query. Bounds start from the ``SEEDS`` longest vectors.
 
     Vectors that are null or hold null or non-finite components take no part, nor do null ids. Shorter vectors are
-    padded with zeros, an empty one scores 0. Repeated equal rows count once; different vectors under one ``vec_id``
-    are told apart only by score: as a query each gives candidates, as a candidate the best counts. No vector is its own id's
-    candidate. Scores are exact while they fit a long. Other columns are not read.
+    padded with zeros, an empty one scores 0. Repeated rows of one ``vec_id`` count once; of different vectors under one
+    ``vec_id`` the greatest (component by component) counts. Scores are exact while they fit a long. Other columns are not read.
     """
     rows = materialize(scaled(embeddings, scale), "scaled")
     n, width = rows.agg(F.count("*"), F.max(F.size("v"))).first()
     width = max(1, width or 1)
     turn = rotation(gram(rows, width))
     longest = rows.orderBy(F.desc("n2"), "vec_id").limit(SEEDS).select("vec_id", "v").toArrow()
-    # one row an id: a bound must rest on k different candidates
-    seed_names, first = np.unique(longest["vec_id"].to_numpy(), return_index=True)
-    seeds = vectors.matrix(longest["v"], width)[first]
+    seeds, seed_names = vectors.matrix(longest["v"], width), longest["vec_id"].to_numpy()
     asked = rows.filter(is_query).select("vec_id", "v").mapInArrow(
         _first_bounds(seeds, seed_names, width, k), "vec_id bigint, v array<bigint>, bound double"
     )
@@ -185,7 +182,6 @@ def exact_topk(embeddings: DataFrame, is_query: str, k: int = 20, scale: int = 6
     )
     steps = q_side.unionByName(c_side).groupBy("qb", "cb")
     found = steps.applyInArrow(_search(width, turn, k), "query_id bigint, vec_id bigint, score bigint")
-    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
