@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from twinline.llm import cover_tree, mixing, odd_sketch, packing, secrets, topk
+from twinline.llm import cover_tree, mixing, odd_sketch, ordinal, packing, secrets, sharding, text_density, topk, url_trees
 from twinline.sources.tables import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,10 +18,50 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_vector_packing(spark: SparkSession, sf: str) -> DataFrame:
+    packed = sharding.pack_shards(load(spark, sf, "documents"), 40)
+    return packed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+
+
+def labelled_urls(spark: SparkSession, sf: str) -> DataFrame:
+    """Addresses that are known: label 1 where a rule blocks, or the document that the path's last number names is labelled bad."""
+    url = F.col("url")
+    pages = load(spark, sf, "pages").select(url, F.regexp_extract(url_trees.path(url), r"(\d{1,18})\D*$", 1).alias("number"))
+    named = pages.withColumn("doc_id", F.when(F.col("number") != "", F.col("number").cast("bigint")))
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labels = load(spark, sf, "labels").select("doc_id", bad.cast("int").alias("bad"))
+    verdict = url_trees.rule(url_trees.host(url), url_trees.path(url), URL_RULES)["verdict"]
+    both = named.join(labels, "doc_id", "left").withColumn("verdict", verdict)
+    return both.select("url", F.coalesce((F.col("verdict") == "block").cast("int"), "bad").alias("label"))
+
+
+def op2_boosted_urls(spark: SparkSession, sf: str) -> DataFrame:
+    judged = url_trees.judge(load(spark, sf, "pages").select("page_id", "url"), URL_RULES, labelled_urls(spark, sf))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "bad")
+
+
 def op3_norm_sorted_topk(spark: SparkSession, sf: str) -> DataFrame:
     return topk.exact_topk(load(spark, sf, "embeddings"), "vec_id % 20 = 0", k=20, scale=64)
 
 
+def op4_text_density(spark: SparkSession, sf: str) -> DataFrame:
+    return text_density.extract(load(spark, sf, "pages"))
+
+
+def grades(spark: SparkSession, sf: str) -> DataFrame:
+    """Graded ratings: 0 toxic, 1 of low quality, 2 neither."""
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).otherwise(2)
+    return load(spark, sf, "labels").select("doc_id", grade.alias("grade"))
+
+
+def op5_ordinal_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = load(spark, sf, "documents")
+    return ordinal.rate(docs, ordinal.fit(docs, grades(spark, sf)))
+
+
 def op6_ownership_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(load(spark, sf, "documents")))
 
@@ -42,8 +82,14 @@ def op10_entropy_balancing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(load(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
 
+ORACLES: dict[str, str] = {}
+
 QUERIES: dict[str, Query] = {
+    "op1_vector_packing": op1_vector_packing,
+    "op2_boosted_urls": op2_boosted_urls,
     "op3_norm_sorted_topk": op3_norm_sorted_topk,
+    "op4_text_density": op4_text_density,
+    "op5_ordinal_quality": op5_ordinal_quality,
     "op6_ownership_secrets": op6_ownership_secrets,
     "op7_cover_tree": op7_cover_tree,
     "op8_odd_sketch": op8_odd_sketch,
