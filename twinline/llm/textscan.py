@@ -114,7 +114,7 @@ def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
             if b - a >= width:
                 yield np.unique(rolled[a : b - width + 1])
             elif b > a:
-                short = words[a:b] * _PLACES[: b - a]
-                yield mix(short.sum(keepdims=True, dtype=np.uint64) + _PLACES[-1] * np.uint64(b - a))
+                short = np.append(words[a:b] * _PLACES[: b - a], _PLACES[b - a - 1 : b - a] * _PLACES[-1:])
+                yield mix(short.sum(keepdims=True, dtype=np.uint64))
             else:
                 yield np.zeros(0, dtype=np.uint64)
