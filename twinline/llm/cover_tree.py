@@ -13,13 +13,15 @@ from twinline.llm.components import connected
 from twinline.sources.scratch import materialize
 
 # Vectors of a block, whose tree is one task's step; cells beyond it are split.
-BLOCK = 6144
+BLOCK = 4096
 # Most pivots: the bound of what the driver holds and every task is given.
 PIVOTS = 256
 # Radii of the levels below the root (chords of the unit sphere, at most 2).
 RADII = (1.0, 0.5, 0.25, 0.125)
 # Bounds are taken this much wider than they are, against rounding.
 SLACK = 1e-9
+# Most that a product of unit vectors in single precision is off by.
+ROUGH = 1e-4
 PAIRS_AT_ONCE = 1 << 18
 
 
@@ -104,6 +106,18 @@ class Tree:
             order = np.argsort(parent, kind="stable")
             self.children.append((order, np.append(0, np.cumsum(np.bincount(parent, minlength=len(self.centers[level]))))))
 
+    def start(self, reach: float) -> int:
+        """Level at which a traversal begins: below levels whose wide nodes hardly save any.
+
+        A level is skipped if more than one node in a thousand is too wide to be settled as a whole and the next level has at most
+        half as many nodes again.
+        """
+        for level in range(len(self.children)):
+            wide = (2 * self.radius[level] > reach).mean() if len(self.u) else 0
+            if wide <= 1e-3 or len(self.centers[level + 1]) > 1.5 * len(self.centers[level]):
+                return level
+        return len(self.children)
+
     def _add(self, centers, radius, size, node) -> None:
         self.centers.append(centers)
         self.radius.append(radius)
@@ -189,18 +203,31 @@ def dual(a: Tree, b: Tree, same: bool, cosine: float) -> tuple[np.ndarray, np.nd
         union.add(a.centers[level][x], b.centers[level][y] + shift)
         return i[~within], j[~within]
 
-    open_i, open_j = [], []
-    ca, cb = a.centers[0], b.centers[0]
-    for first in range(0, len(ca), 512):
-        dots = a.u[ca[first : first + 512]] @ b.u[cb].T
-        bound = a.radius[0][first : first + 512, None] + b.radius[0][None, :] + reach + SLACK
-        i, j = np.nonzero(2 - 2 * dots <= bound * bound)
-        if same:
-            i, j = i[i + first <= j], j[i + first <= j]
-        i, j = settle(0, i + first, j, dots[i, j])
-        open_i.append(i)
-        open_j.append(j)
-    for level in range(last):
+    open_i, open_j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    top = max(a.start(reach), b.start(reach))
+    ca, cb, ra, rb = a.centers[top], b.centers[top], a.radius[top], b.radius[top]
+    # single precision only rules out, by bounds widened for it; nodes of like radius share a bound
+    ua, ub = a.u[ca].astype(np.float32), b.u[cb].astype(np.float32)
+    by_radius = np.argsort(rb, kind="stable")
+    limits = np.searchsorted(rb[by_radius], [1e-6, 0.125, 0.25, 0.5, 1.0], side="right")
+    for start, stop in zip((0, *limits), (*limits, len(cb)), strict=True):
+        part = by_radius[start:stop]
+        if not len(part):
+            continue
+        widest = ra + rb[part[-1]] + reach + SLACK
+        least = (1 - widest * widest / 2 - ROUGH).astype(np.float32)
+        for first in range(0, len(ca), 1024):
+            rough = ua[first : first + 1024] @ ub[part].T
+            at = np.flatnonzero(rough >= least[first : first + 1024, None])
+            i, j = first + at // len(part), part[at % len(part)]
+            if same:
+                i, j = i[i <= j], j[i <= j]
+            for cut in range(0, len(i), PAIRS_AT_ONCE):
+                x, y = i[cut : cut + PAIRS_AT_ONCE], j[cut : cut + PAIRS_AT_ONCE]
+                x, y = settle(top, x, y, np.einsum("ij,ij->i", a.u[ca[x]], b.u[cb[y]]))
+                open_i.append(x)
+                open_j.append(y)
+    for level in range(top, last):
         i, j = np.concatenate(open_i), np.concatenate(open_j)
         open_i, open_j = [i[:0]], [j[:0]]
         for x, y in _product(a.children[level], i, b.children[level], j):
