@@ -16,7 +16,7 @@ CLOSE = 1e-9
 # Rounds in which one document a source takes up what rounding left.
 REPAIRS = 4
 # Documents of one source and size that are ranked together; larger cells are split.
-CELL = 4096
+CELL = 512
 
 
 def word_count(text: Column) -> Column:
