@@ -20,7 +20,7 @@ SKETCH_BITS = 512
 # Chance that a pair exactly at the threshold shares no band.
 MISSED = 1e-7
 # Rows of a bucket, and rows and bytes of a candidate group, compared in one step; larger ones become a grid of such.
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 1024
 GROUP_ROWS = 256
 GROUP_BYTES = 16 << 20
 _FACTORS = (np.random.default_rng(7).integers(0, 2**32, SAMPLES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
