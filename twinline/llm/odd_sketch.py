@@ -289,11 +289,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     source = docs.filter("doc_id IS NOT NULL")
     sketched = materialize(sketch_documents(source, width, percent / 100), "sketches")
     digest = ["d1", "d2", "n_shingles"]
-    classes = sketched.filter("n_shingles > 0").groupBy(*digest).agg(F.min("doc_id").alias("rep"))
-    reps = sketched.filter("n_shingles > 0").join(classes, digest).filter("doc_id = rep")
-    reps = materialize(reps.dropDuplicates([*digest, "rep"]).select("rep", *digest, "bytes", "sketch", "keys"), "classes")
+    # the smallest document of each class with its sketch: copies fall away before the shuffle
+    least = F.min(F.struct("doc_id", "bytes", "sketch", "keys")).alias("least")
+    reps = sketched.filter("n_shingles > 0").groupBy(*digest).agg(least)
+    carried = [F.col(f"least.{c}").alias(c) for c in ("bytes", "sketch", "keys")]
+    reps = materialize(reps.select(F.col("least.doc_id").alias("rep"), *digest, *carried), "classes")
     groups = materialize(candidate_groups(reps, percent / 100), "candidate-groups")
-    sized = groups.join(reps.select("rep", "bytes", "d1", "d2"), F.col("node") == F.col("rep"))
+    sized = groups.join(reps.select("rep", "bytes"), F.col("node") == F.col("rep"))
     totals = sized.groupBy("component").agg(F.count("*").alias("size"), F.sum("bytes").alias("total"))
     blocks = F.ceil(F.greatest(F.col("size") / GROUP_ROWS, F.col("total") / GROUP_BYTES)).cast("int")
     members = groups.join(totals.withColumn("blocks", blocks), "component")
@@ -303,7 +305,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         _confirm(width, percent), "a bigint, b bigint"
     )
     linked = connected(confirmed)
-    named = sketched.join(classes, digest, "left").select(
+    named = sketched.join(reps.select("rep", *digest), digest, "left").select(
         "doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")
     )
     whole = named.join(linked.withColumnRenamed("node", "rep"), "rep", "left").select(

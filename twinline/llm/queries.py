@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from twinline.llm import cover_tree, mixing, odd_sketch, ordinal, packing, secrets, sharding, text_density, topk, url_trees
+from twinline.llm.oracles import ORACLES  # noqa: F401
 from twinline.sources.tables import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,7 +83,7 @@ def op10_entropy_balancing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(load(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
 
-ORACLES: dict[str, str] = {}
+
 
 QUERIES: dict[str, Query] = {
     "op1_vector_packing": op1_vector_packing,
