@@ -13,8 +13,8 @@ MOST = 3
 # Newton steps at most, and the relative error at which they end.
 STEPS = 60
 CLOSE = 1e-9
-# Rounds in which one document a source takes up what rounding left.
-REPAIRS = 4
+# Rounds that take up what rounding left: by a share of the smaller documents of a source, or by one.
+REPAIRS = ("many", "one", "many", "one", "one")
 # Documents of one source and size that are ranked together; larger cells are split.
 CELL = 512
 
@@ -148,7 +148,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1)) -> DataFrame:
 def repaired(counted: DataFrame, wanted: DataFrame) -> DataFrame:
     """``counted`` with a copy more or less of a few documents, so that the words of each source come closer to its target.
 
-    Each round changes the document of each source whose size is nearest to what the source is off by.
+    A round changes the document of each source whose size is nearest to what the source is off by, or, by hash, the
+    share of documents of at most half that size that makes up for it.
     """
     key = ["doc_id", "repeat", "source"]
     moves = counted.select(*key, F.lit(0).cast("bigint").alias("step")).limit(0)
@@ -159,16 +160,24 @@ def repaired(counted: DataFrame, wanted: DataFrame) -> DataFrame:
         both = counted.alias("c").join(changes.alias("v"), same, "left")
         return both.select("c.*", F.coalesce("v.step", F.lit(0)).alias("step")).withColumn("copies", F.col("copies") + F.col("step")).drop("step")
 
-    for _ in range(REPAIRS):
+    for turn, kind in enumerate(REPAIRS):
         now = moved()
         sums = now.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"))
         gaps = wanted.alias("w").join(sums.alias("s"), F.equal_null("w.source", "s.source"))
         gaps = materialize(gaps.select("w.source", (F.col("target") - F.col("taken")).alias("gap")), "gaps")
-        room = F.when(F.col("gap") > 0, F.col("copies") < MOST).otherwise(F.col("copies") > 0)
-        left = F.abs(F.abs("gap") - F.col("size"))
-        fits = now.alias("n").join(gaps.alias("g"), F.equal_null("n.source", "g.source")).filter(room & (left < F.abs("gap")))
-        best = F.min(F.struct(left.alias("left"), "doc_id", "repeat", F.signum("gap").cast("bigint").alias("step"))).alias("best")
-        picked = fits.groupBy("n.source").agg(best).select("best.doc_id", "best.repeat", "source", "best.step")
+        room = F.when(F.col("gap") > 0, F.col("copies") < MOST).otherwise(F.col("copies") > 0) & (F.col("size") > 0)
+        fits = now.alias("n").join(gaps.alias("g"), F.equal_null("n.source", "g.source")).filter(room)
+        fits = fits.select("doc_id", "repeat", "n.source", "size", "gap", F.signum("gap").cast("bigint").alias("step"))
+        if kind == "one":
+            left = F.abs(F.abs("gap") - F.col("size"))
+            best = F.min(F.struct(left.alias("left"), "doc_id", "repeat", "step")).alias("best")
+            picked = fits.filter(left < F.abs("gap")).groupBy("source").agg(best).select("best.doc_id", "best.repeat", "source", "best.step")
+        else:
+            small = fits.filter(2 * F.col("size") <= F.abs("gap"))
+            room = small.groupBy("source").agg(F.sum("size").alias("room")).alias("r")
+            chance = F.pmod(F.xxhash64("doc_id", "repeat", F.lit(turn)), F.lit(1 << 20)) / (1 << 20)
+            chosen = small.alias("c").join(room, F.equal_null("c.source", "r.source")).filter(chance < F.abs("gap") / F.col("room"))
+            picked = chosen.select("doc_id", "repeat", "c.source", "step")
         moves = moves.unionByName(materialize(picked, "moves"))
     return moved()
 

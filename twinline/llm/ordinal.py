@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,8 +20,12 @@ LEAST_DOCUMENTS = 3
 # Bytes of a word's beginning that are a feature of their own, for inflected forms.
 STEM = 5
 EPOCHS, BATCH, STEP, SHRINK = 12, 32, 0.15, 1e-3
+# Start of the squared steps seen: keeps the first steps of rare features small.
+DAMPING = 0.03
+# Steps at least, also for few documents.
+LEAST_STEPS = 3000
 # Probability of the highest grade from which a document is kept.
-KEEP = 0.4
+KEEP = 0.5
 
 _LETTERS = np.ones(256, dtype=bool)  # breaks: all but letters and bytes of other alphabets
 _LETTERS[65:91] = _LETTERS[97:123] = _LETTERS[128:] = False
@@ -111,9 +116,9 @@ def train(x: list[np.ndarray], grade: np.ndarray) -> Model | None:
     x = [ids[spread[ids] >= LEAST_DOCUMENTS] for ids in x]
     share = np.array([(grade >= k).mean() for k in range(1, kinds)]).clip(1e-3, 1 - 1e-3)
     weights, cuts = np.zeros(BUCKETS), np.sort(-np.log(share / (1 - share)))
-    seen, seen_cuts = np.full(BUCKETS, 1e-6), np.full(len(cuts), 1e-6)
+    seen, seen_cuts = np.full(BUCKETS, DAMPING), np.full(len(cuts), DAMPING)
     random = np.random.default_rng(5)
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, math.ceil(LEAST_STEPS * BATCH / len(x)))):
         order = random.permutation(len(x))
         for first in range(0, len(order), BATCH):
             rows = order[first : first + BATCH]
