@@ -21,7 +21,7 @@ LEAST_DOCUMENTS = 3
 STEM = 5
 EPOCHS, BATCH, STEP, SHRINK = 12, 32, 0.15, 1e-3
 # Start of the squared steps seen: keeps the first steps of rare features small.
-DAMPING = 0.03
+DAMPING = 0.1
 # Steps at least, also for few documents.
 LEAST_STEPS = 3000
 # Probability of the highest grade from which a document is kept.
