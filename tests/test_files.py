@@ -48,14 +48,10 @@ def test_numbers_over_many_blocks_and_files(spark, tmp_path):
         got = text.read_lines(spark, str(tmp_path / "corpus"))
         assert got.rdd.getNumPartitions() > 10
         rows = got.orderBy("line_no").collect()
-        # Beyond the broadcast limit the block table is joined instead.
-        limit, text.MAX_BROADCAST_BLOCKS = text.MAX_BROADCAST_BLOCKS, 0
-        joined = text.read_lines(spark, str(tmp_path / "corpus")).orderBy("line_no").collect()
-        text.MAX_BROADCAST_BLOCKS = limit
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert [r["line_no"] for r in rows] == list(range(1, len(expected) + 1))
-    assert [r["line"] for r in rows] == expected == [r["line"] for r in joined]
+    assert [r["line"] for r in rows] == expected
     assert {r["n_lines"] for r in rows} == {len(expected)}
 
 
@@ -285,3 +281,21 @@ def test_command_line(spark, tmp_path, configured, capsys):
     assert "written to" in out and "no changes in sources" in out
     assert "b-corpus (src):2 => Yes" in out
     assert "hypothesis> Hello number 1" in out and "BLEU score:" in out
+
+
+def test_part_files_are_read_by_number_and_counted_when_empty(spark, tmp_path):
+    for n, content in ((99999, "a\nb\n"), (100000, "c\n"), (7, ""), (100001, "d\ne")):
+        _file(tmp_path / "parts" / f"part-{n:05d}.txt", content)
+    rows = text.read_lines(spark, str(tmp_path / "parts")).orderBy("line_no").collect()
+    assert [r["line"] for r in rows] == ["a", "b", "c", "d", "e"]
+    counts = {r["file"].rsplit("/", 1)[1]: r["lines"] for r in text.count_lines(spark, str(tmp_path / "parts")).collect()}
+    assert counts == {"part-00007.txt": 0, "part-99999.txt": 2, "part-100000.txt": 1, "part-100001.txt": 2}
+
+
+def test_an_export_takes_the_place_of_an_earlier_one(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for words in (["x", "y"], ["z"]):
+        pairs = spark.createDataFrame([(i, w, w + "2") for i, w in enumerate(words)], "n int, src string, tgt string")
+        text.write_parallel(pairs, out, ["n"], "train", mode="overwrite")
+    rows = text.read_parallel(spark, f"{out}/file=src-train", f"{out}/file=tgt-train").collect()
+    assert [(r["src"], r["tgt"]) for r in rows] == [("z", "z2")]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from workload.queries import QUERIES
 from tests.check import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -15,10 +16,10 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     line = compare(spark, con, name, SF)
-    assert line.startswith(("ok", "rows")), line
+    assert line.startswith("ok"), line
     assert ": 0 rows" not in line, line
 
 

@@ -61,7 +61,7 @@ def main(argv: list[str] | None = None) -> None:
             scored = bleu.sentence_lookup(scored, args.sentence)
             for row in scored.collect():
                 print(f"reference> {row['ref']}\nhypothesis> {row['hyp']}")
-        print(f"BLEU score: {bleu.corpus_bleu(scored, 'line_no').head()['bleu']}")
+        print(f"BLEU score: {bleu.corpus_bleu(scored).head()['bleu']}")
 
 
 if __name__ == "__main__":

@@ -40,60 +40,44 @@ def _with_ngrams(df: DataFrame, side: str) -> DataFrame:
     return df
 
 
-def _of_order(n: int) -> Column:
-    """One order of one sentence: its totals, and its n-grams (both sides) where they must be counted.
-
-    If the n-grams of either side are all different, the matches are simply the common ones, and no
-    n-gram needs to leave its row.
-    """
-    hyp, ref = F.col(f"h_{n}"), F.col(f"r_{n}")
-    counting = (F.size(F.array_distinct(hyp)) < F.size(hyp)) & (F.size(F.array_distinct(ref)) < F.size(ref))
-    return F.struct(
-        F.lit(n).alias("n"),
-        F.when(counting, F.concat(hyp, ref)).otherwise(F.array()).alias("grams"),
-        F.when(counting, 0).otherwise(F.size(F.array_intersect(hyp, ref))).alias("matched"),
-        F.size(hyp).alias("total"),
-        F.size(ref).alias("ref_total"),
+def _numbered(grams: Column) -> Column:
+    """The n-grams of a sorted array, equal ones told apart by a running number: linear in the array."""
+    n = F.size(grams)
+    starts = F.filter(
+        F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(grams, i) != F.get(grams, F.greatest(i - 1, F.lit(0))))
+    )
+    ends = F.concat(F.slice(starts, 2, F.size(starts)), F.array(n))
+    runs = F.zip_with(starts, ends, lambda a, b: F.struct(F.get(grams, a).alias("gram"), (b - a).alias("times")))
+    copies = F.transform(
+        runs, lambda r: F.transform(F.sequence(F.lit(1), r["times"]), lambda k: F.concat_ws(" ", r["gram"], k.cast("string")))
     )
+    return F.when(n > 0, F.flatten(copies)).otherwise(F.array())
 
 
-def ngram_counts(scored: DataFrame, key: str = "id") -> DataFrame:
-    """``n, matched, total, ref_total`` summed over all sentences, from ``key, hyp, ref`` rows.
+def ngram_counts(scored: DataFrame) -> DataFrame:
+    """One row of ``matched_n``, ``total_n`` and ``ref_total_1`` summed over all sentences, from ``hyp, ref`` rows.
 
-    Sentences are placed by key once; the n-grams of a sentence are then counted where they are made.
+    The clipped matches of a sentence are found inside its row; only four sums leave a partition.
     """
-    # The shuffle's full width: n-grams outweigh the text they come from.
-    width = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tokenized = scored.repartition(width, F.col(key)).select(
-        key, tokenize_13a(F.col("hyp")).alias("h_1"), tokenize_13a(F.col("ref")).alias("r_1")
-    )
-    tokenized = _with_ngrams(_with_ngrams(tokenized, "h"), "r")
-    orders = tokenized.select(key, F.inline(F.array(*[_of_order(n) for n in range(1, ORDER + 1)])))
-    # Outer: an order with nothing to count keeps one row, without an n-gram.
-    grams = orders.select(
-        key, "n", "matched", "total", "ref_total", F.posexplode_outer("grams").alias("place", "gram")
-    )
-    first = F.coalesce(F.col("place"), F.lit(0)) == 0
-    once = [F.sum(F.when(first, F.col(name)).otherwise(0)).alias(name) for name in ("matched", "total", "ref_total")]
-    in_hyp, in_ref = F.count_if(F.col("place") < F.col("total")), F.count_if(F.col("place") >= F.col("total"))
-    per_sentence = grams.groupBy(key, "n", "gram").agg(in_hyp.alias("in_hyp"), in_ref.alias("in_ref"), *once)
-    return per_sentence.groupBy("n").agg(
-        F.sum(F.col("matched") + F.least("in_hyp", "in_ref")).alias("matched"),
-        F.sum("total").alias("total"),
-        F.sum("ref_total").alias("ref_total"),
-    )
+    tokenized = scored.select(tokenize_13a(F.col("hyp")).alias("h_1"), tokenize_13a(F.col("ref")).alias("r_1"))
+    grams = _with_ngrams(_with_ngrams(tokenized, "h"), "r")
+    sides = [f"{side}_{n}" for side in "hr" for n in range(1, ORDER + 1)]
+    grams = grams.select(*[F.array_sort(side).alias(side) for side in sides])
+    sums = []
+    for n in range(1, ORDER + 1):
+        hyp, ref = F.col(f"h_{n}"), F.col(f"r_{n}")
+        # if the n-grams of either side are all different, the matches are simply the common ones
+        plain = (F.size(F.array_distinct(hyp)) == F.size(hyp)) | (F.size(F.array_distinct(ref)) == F.size(ref))
+        common = F.when(plain, F.array_intersect(hyp, ref)).otherwise(F.array_intersect(_numbered(hyp), _numbered(ref)))
+        sums += [F.sum(F.size(common)).alias(f"matched_{n}"), F.sum(F.size(hyp)).alias(f"total_{n}")]
+    return grams.agg(*sums, F.sum(F.size("r_1")).alias("ref_total_1"))
 
 
-def corpus_bleu(scored: DataFrame, key: str = "id") -> DataFrame:
+def corpus_bleu(scored: DataFrame) -> DataFrame:
     """One row: ``bleu`` (0 to 100, five decimals), ``hyp_len`` and ``ref_len`` in tokens."""
-    counts = ngram_counts(scored, key)
-
-    def of_order(n: int, column: str) -> Column:
-        return F.coalesce(F.max(F.when(F.col("n") == n, F.col(column))), F.lit(0)).alias(f"{column}_{n}")
-
-    sums = counts.agg(
-        *[of_order(n, c) for n in range(1, ORDER + 1) for c in ("matched", "total")], of_order(1, "ref_total")
-    ).withColumnsRenamed({"total_1": "hyp_len", "ref_total_1": "ref_len"})
+    counts = ngram_counts(scored)
+    sums = counts.select(*[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts.columns])
+    sums = sums.withColumnsRenamed({"total_1": "hyp_len", "ref_total_1": "ref_len"})
 
     logs, halvings = [], F.lit(0)
     for n in range(1, ORDER + 1):
@@ -117,4 +101,4 @@ def sentence_lookup(scored: DataFrame, sentence: int, line_no: str = "line_no")
 
 def sentence_bleu(scored: DataFrame, sentence: int, line_no: str = "line_no") -> DataFrame:
     """BLEU of one 0-based sentence."""
-    return corpus_bleu(sentence_lookup(scored, sentence, line_no), line_no)
+    return corpus_bleu(sentence_lookup(scored, sentence, line_no))

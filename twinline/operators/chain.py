@@ -58,7 +58,8 @@ def cut_lines(df: DataFrame, cuts: Sequence[Op], line_no: str = "line_no", n_lin
 
 
 def rejections(filters: Sequence[Op]) -> list[tuple[str, Column]]:
-    return [(op.name, op.build(F.col("src"), F.col("tgt"), **op.args)) for op in filters]
+    """Name and predicate of each filter; a predicate that is null removes nothing."""
+    return [(op.name, F.coalesce(op.build(F.col("src"), F.col("tgt"), **op.args), F.lit(False))) for op in filters]
 
 
 def with_reason(df: DataFrame, filters: Sequence[Op]) -> DataFrame:

@@ -27,9 +27,6 @@ SEPARATOR = "@@"
 EDGE = "\r\n "
 VERSIONS = ((0, 1), (0, 2))
 
-# Merges and vocabulary belong to a model and do not grow with the corpus; each is checked against this
-# many rows before it is sent to the workers.
-MAX_MODEL_ROWS = 2_000_000
 # Rank of a pair that is never joined.
 NEVER = float("inf")
 # Words remembered per Python worker.
@@ -53,11 +50,12 @@ class Model:
         object.__setattr__(self, "origins", {left + right: (left, right) for left, right in worst_first})
 
 
-def _rows(df: DataFrame, what: str) -> list:
-    rows = df.limit(MAX_MODEL_ROWS + 1).collect()
-    if len(rows) > MAX_MODEL_ROWS:
-        raise ValueError(f"more than {MAX_MODEL_ROWS} {what}: this is not a subword model")
-    return rows
+def _known_pieces(merges: DataFrame, vocab: DataFrame, separator: str) -> frozenset[str]:
+    """Vocabulary entries that a merge can give: only these decide anything, so they are at most two per merge."""
+    symbol = F.concat("left", "right")
+    forms = F.array(F.replace(symbol, F.lit(END), F.lit("")), F.concat(symbol, F.lit(separator)))
+    made = merges.select(F.explode(forms).alias("token")).distinct()
+    return frozenset(r["token"] for r in vocab.select("token").join(made, "token", "left_semi").collect())
 
 
 def load_model(
@@ -67,12 +65,15 @@ def load_model(
     glossaries: Iterable[str] = (),
     separator: str = SEPARATOR,
 ) -> Model:
-    """Collect ``rank, left, right`` merges and an optional ``token`` vocabulary, both checked for size."""
+    """Collect ``rank, left, right`` merges, whose number is a setting of the model, and what a ``token`` vocabulary says of them.
+
+    The vocabulary can be of any size and stays distributed; an empty one counts as none.
+    """
     if tuple(version) not in VERSIONS:
         raise NotImplementedError(f"merges version {version}")
-    ranks = {(m["left"], m["right"]): m["rank"] for m in _rows(merges.select("rank", "left", "right"), "merges")}
-    known = None if vocab is None else frozenset(r["token"] for r in _rows(vocab.select("token"), "vocabulary rows"))
-    return Model(ranks, tuple(version), known or None, tuple(glossaries), separator)
+    ranks = {(m["left"], m["right"]): m["rank"] for m in merges.select("rank", "left", "right").collect()}
+    known = None if vocab is None or vocab.isEmpty() else _known_pieces(merges, vocab, separator)
+    return Model(ranks, tuple(version), known, tuple(glossaries), separator)
 
 
 def _merged(word: str, model: Model) -> list[str]:
@@ -95,7 +96,7 @@ def _merged(word: str, model: Model) -> list[str]:
     *pieces, last = symbols
     if last != END:
         pieces.append(last.replace(END, ""))
-    return _in_vocabulary(pieces, model) if model.vocab else pieces
+    return _in_vocabulary(pieces, model) if model.vocab is not None else pieces
 
 
 def _in_vocabulary(pieces: list[str], model: Model) -> list[str]:
@@ -115,27 +116,22 @@ def _in_vocabulary(pieces: list[str], model: Model) -> list[str]:
     return out
 
 
-def _around_glossaries(word: str, glossaries: tuple[str, ...]) -> list[str]:
-    """Cut a word so that every glossary match inside it stands alone."""
-    parts = [word]
-    for term in glossaries:
-        cut: list[str] = []
-        for part in parts:
-            if re.match(f"^{term}$", part) or not re.search(term, part):
-                cut.append(part)
-            else:
-                *inner, tail = re.split(f"({term})", part)
-                cut += [*filter(None, inner), *([tail.strip(EDGE)] if tail else [])]
-        parts = cut
-    return parts
+def _glossary_spans(word: str, glossaries: tuple[str, ...]) -> Iterator[tuple[str, bool]]:
+    """The word in order: text between matches, and matches of any glossary pattern, which stay whole."""
+    at = 0
+    for match in re.finditer("|".join(f"(?:{term})" for term in glossaries), word):
+        if match.end() > match.start():
+            yield word[at : match.start()], False
+            yield match.group(), True
+            at = match.end()
+    yield word[at:], False
 
 
 def segment_word(word: str, model: Model) -> list[str]:
     """Pieces of one word, all but the last carrying the separator."""
     if model.glossaries:
-        whole = re.compile(f"^({'|'.join(model.glossaries)})$")
-        parts = _around_glossaries(word, model.glossaries)
-        pieces = [p for part in parts for p in ([part] if whole.match(part) else _merged(part, model))]
+        spans = [(text, whole) for text, whole in _glossary_spans(word, model.glossaries) if text]
+        pieces = [p for text, whole in spans for p in ([text] if whole else _merged(text, model))]
     else:
         pieces = _merged(word, model)
     return [piece + model.separator for piece in pieces[:-1]] + pieces[-1:]

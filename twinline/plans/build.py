@@ -112,8 +112,8 @@ def sentence_sample(built: Built, plan: Plan, seed: int | str = 0) -> DataFrame:
 
 
 def export(built: Built, path: str) -> None:
-    """Aligned text files of both splits in shuffled (key) order."""
-    text.write_parallel(built.pairs, path, ["key", *merge.POSITION], split=F.col("split"))
+    """Aligned text files of both splits in shuffled (key) order, in place of those of an earlier build."""
+    text.write_parallel(built.pairs, path, ["key", *merge.POSITION], split=F.col("split"), mode="overwrite")
 
 
 def run(

@@ -64,8 +64,10 @@ def vocab_to_counts(lines: DataFrame) -> DataFrame:
     fields = with_computed(lines.select("line"), parts=parts).filter(F.size("parts") == 2)
     number = chars.strip(F.col("parts")[1])
     # Fixed value: the written forms of a number that count.
-    is_number = number.rlike(r"^[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?$")
+    is_number = number.rlike(r"^[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?$|^[-+]?(?i:inf|infinity)$")
     valued = with_computed(
         fields, token=F.col("parts")[0], logprob=F.when(is_number, number.try_cast("double"))
-    ).filter((F.col("logprob") < LARGEST_LOGPROB) & ~F.col("token").isin(*SPECIAL_TOKENS))
-    return valued.select("token", (F.floor(F.exp("logprob") * 1_000_000) + 1).cast("bigint").alias("freq"))
+    ).filter(F.col("logprob").isNotNull() & ~F.col("token").isin(*SPECIAL_TOKENS))
+    too_large = F.raise_error(F.concat(F.lit("the count does not fit a long: "), F.col("token"))).cast("bigint")
+    count = (F.floor(F.exp("logprob") * 1_000_000) + 1).cast("bigint")
+    return valued.select("token", F.when(F.col("logprob") >= LARGEST_LOGPROB, too_large).otherwise(count).alias("freq"))

@@ -14,12 +14,6 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core on a table stored in fewer pieces than there are cores; leave larger ones alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def corpus_number(source: Column) -> Column:
     """``src12`` is corpus 12."""
     return F.regexp_extract(source, r"(\d+)$", 1).cast("int")
@@ -36,24 +30,28 @@ def line_count(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
 
 
+def pair_count(text: Column) -> Column:
+    return F.ceil(line_count(text) / 2)
+
+
 def document_pairs(documents: DataFrame, *carry: str) -> DataFrame:
-    """``source, source_ord, doc_id, pair_no, src, tgt``: odd lines paired with the line below."""
+    """``source, source_ord, doc_id, pair_no, src, tgt``: odd lines paired with the line below, a last one without with an empty one."""
     kept = ["source", "source_ord", "doc_id", *carry]
     lines = documents.withColumns(
         {"source_ord": corpus_number(F.col("source")), "lines": F.split("text", "\n", -1)}
     ).select(*kept, "lines")
     exploded = lines.select(*kept, F.posexplode_outer(_line_pairs(F.col("lines"))).alias("pos", "pair"))
-    return exploded.filter("pair.tgt IS NOT NULL").select(
+    return exploded.filter("pair.src IS NOT NULL").select(
         *kept,
         (F.col("pos") + 1).alias("pair_no"),
         F.col("pair.src").alias("src"),
-        F.col("pair.tgt").alias("tgt"),
+        F.coalesce("pair.tgt", F.lit("")).alias("tgt"),
     )
 
 
 def pair_offsets(documents: DataFrame) -> DataFrame:
     """``source, doc_id, lines_before, n_lines``: a narrow table, the texts themselves stay put."""
-    pairs = F.floor(line_count(F.col("text")) / 2)
+    pairs = pair_count(F.col("text"))
     block = F.shiftright(F.col("doc_id"), BLOCK_BITS)
     return numbering.unit_offsets(documents, "source", "doc_id", block, pairs)
 

@@ -14,25 +14,21 @@ from twinline.sources import languages
 # Splits of the evaluation sets.
 EVAL_SPLITS = ("dev", "devtest")
 
-# The block table is broadcast up to this many file blocks (a few MB), else joined by block.
-MAX_BROADCAST_BLOCKS = 50_000
-
 
 def _scan(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     paths = [path] if isinstance(path, str) else list(path)
     return spark.read.option("lineSep", "\n").text(paths)
 
 
-def _block_limit(spark: SparkSession, path: str | Sequence[str]) -> int:
-    """Upper bound for the number of blocks a scan is cut into, from file sizes alone."""
-    paths = [path] if isinstance(path, str) else list(path)
-    smallest = 4 * 1024 * 1024  # the planner does not cut finer than its per-file opening cost
-    blocks = F.sum(F.ceil(F.col("length") / smallest) + 1)
-    return spark.read.format("binaryFile").load(paths).agg(blocks).head()[0] or 0
+def _file_order() -> list[Column]:
+    """Files by folder, then ``part-<n>`` files by number, as names of more than five digits sort wrongly, then by name."""
+    folder = F.regexp_extract("file", r"^(.*/)", 1)
+    number = F.regexp_extract("file", r"/part-(\d{1,18})[^/]*$", 1)
+    return [folder, F.when(number != "", number.cast("bigint")).asc_nulls_first(), F.col("file")]
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """``line_no, line, n_lines``: the 1-based position over all files of ``path`` in name order.
+    """``line_no, line, n_lines``: the 1-based position over all files of ``path``, part files by their number.
 
     The scan numbers its rows per partition; counting the rows of each file block and summing the
     counts of earlier blocks turns that into positions, without moving a line.
@@ -45,22 +41,28 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     )
     blocks = raw.groupBy("file", "block").agg(F.min("id").alias("first_id"), F.count("*").alias("rows"))
     everything = Window.partitionBy()
-    earlier = everything.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = everything.orderBy(*_file_order(), "block").rowsBetween(Window.unboundedPreceding, -1)
     placed = blocks.select(
         "file",
         "block",
         (F.coalesce(F.sum("rows").over(earlier), F.lit(0)) - F.col("first_id") + 1).alias("shift"),
         F.sum("rows").over(everything).alias("n_lines"),
     )
-    if _block_limit(spark, path) <= MAX_BROADCAST_BLOCKS:
-        placed = F.broadcast(placed)
     numbered = raw.join(placed, ["file", "block"])
     return numbered.select((F.col("id") + F.col("shift")).alias("line_no"), "line", "n_lines")
 
 
+def _same_root(file: Column) -> Column:
+    return F.regexp_replace(file, "^file:/+", "file:///")
+
+
 def count_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """``file, lines`` for every file that has any."""
-    return _scan(spark, path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("lines"))
+    """``file, lines`` for every file, also for empty ones; an unfinished last line counts."""
+    scan = _scan(spark, path)
+    counted = scan.groupBy(_same_root(F.col("_metadata.file_path")).alias("file")).agg(F.count("*").alias("lines"))
+    # the planner's own list of files: a scan leaves empty ones out
+    listed = spark.createDataFrame([(f,) for f in scan.inputFiles()], "file string").select(_same_root(F.col("file")).alias("file"))
+    return listed.join(counted, "file", "left").select("file", F.coalesce("lines", F.lit(0)).alias("lines"))
 
 
 def read_parallel(
@@ -109,7 +111,8 @@ def _one_line(text: Column) -> Column:
 
 
 def write_parallel(
-    pairs: DataFrame, path: str, order: Sequence[str], split: Column | str = "train", parts: int | None = None
+    pairs: DataFrame, path: str, order: Sequence[str], split: Column | str = "train", parts: int | None = None,
+    mode: str = "error",
 ) -> None:
     """Export to ``path/file=src-<split>`` and ``path/file=tgt-<split>``; equally numbered part files align.
 
@@ -127,7 +130,7 @@ def write_parallel(
     )
     rows = pairs.select(*order, sides.alias("row")).select(*order, "row.file", "row.value")
     ranged = rows.repartitionByRange(parts, *order) if parts else rows.repartitionByRange(*order)
-    ranged.sortWithinPartitions("file", *order).select("file", "value").write.partitionBy("file").text(path)
+    ranged.sortWithinPartitions("file", *order).select("file", "value").write.mode(mode).partitionBy("file").text(path)
 
 
 def write_hypotheses(hypotheses: DataFrame, path: str, text: str = "hyp", order: Sequence[str] = ("line_no",)) -> None:

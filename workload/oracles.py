@@ -17,8 +17,8 @@ lines AS (
 ),
 raw AS (
   SELECT a.source, CAST(regexp_extract(a.source, '([0-9]+)$', 1) AS INTEGER) AS source_ord, a.doc_id,
-         CAST((a.ln + 1) // 2 AS BIGINT) AS pair_no, a.line AS src, b.line AS tgt
-  FROM lines a JOIN lines b ON a.doc_id = b.doc_id AND b.ln = a.ln + 1
+         CAST((a.ln + 1) // 2 AS BIGINT) AS pair_no, a.line AS src, coalesce(b.line, '') AS tgt
+  FROM lines a LEFT JOIN lines b ON a.doc_id = b.doc_id AND b.ln = a.ln + 1
   WHERE a.ln % 2 = 1
 ),
 numbered AS (

@@ -11,7 +11,7 @@ from twinline.operators.chain import drop_empty, strip_pair
 from twinline.operators.selection import tokens
 from twinline.sources import models
 from twinline.sources.scratch import materialize
-from twinline.sources.tables import BLOCK_BITS, document_pairs, line_count, load, numbered_document_pairs, spread
+from twinline.sources.tables import BLOCK_BITS, document_pairs, load, numbered_document_pairs, pair_count
 
 KEY = ("source", "doc_id", "pair_no")
 
@@ -21,7 +21,7 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return document_pairs(spread(documents(spark, sf)))
+    return document_pairs(documents(spark, sf))
 
 
 def clean_pairs(spark: SparkSession, sf: str) -> DataFrame:
@@ -70,7 +70,7 @@ def conversation_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def html_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(load(spark, sf, "pages")).select("page_id", F.col("html").alias("src"), F.col("url").alias("tgt"))
+    return load(spark, sf, "pages").select("page_id", F.col("html").alias("src"), F.col("url").alias("tgt"))
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
@@ -95,7 +95,7 @@ def word_lines(spark: SparkSession, sf: str) -> DataFrame:
     """``line_no, line``: the first words of both sides of every pair, as a two-field file."""
     docs = documents(spark, sf).withColumn("corpus", F.lit("all"))
     offsets = numbering.unit_offsets(
-        docs, "corpus", "doc_id", F.shiftright(F.col("doc_id"), BLOCK_BITS), F.floor(line_count(F.col("text")) / 2)
+        docs, "corpus", "doc_id", F.shiftright(F.col("doc_id"), BLOCK_BITS), pair_count(F.col("text"))
     )
     words = [F.coalesce(F.nullif(_first_word(F.col(side)), F.lit("")), F.lit("_")) for side in ("src", "tgt")]
     return raw_pairs(spark, sf).join(offsets.select("doc_id", "lines_before"), "doc_id").select(
@@ -104,7 +104,7 @@ def word_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def word_counts(spark: SparkSession, sf: str) -> DataFrame:
-    words = spread(documents(spark, sf)).select(F.explode(F.split("text", "[ \n]", -1)).alias("word")).filter("word <> ''")
+    words = documents(spark, sf).select(F.explode(F.split("text", "[ \n]", -1)).alias("word")).filter("word <> ''")
     return words.groupBy("word").agg(F.count("*").alias("freq"))
 
 
