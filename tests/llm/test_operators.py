@@ -188,6 +188,27 @@ def test_sharding(docs, rows, none):
     assert sharding.pack_shards(none, 5).collect() == []
 
 
+def test_sharding_in_many_lots(monkeypatch, spark):
+    monkeypatch.setattr(sharding, "LOT", 60)
+    monkeypatch.setattr(sharding, "SPREAD", 8)
+    rng = random.Random(7)
+    texts = ["one text a third of all rows"] * 1000 + [sentence(rng, rng.randint(3, 9)) for _ in range(1980)]
+    texts += [sentence(rng, 150) for _ in range(20)]  # each alone more than a shard's share of a lot
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    got = sharding.pack_shards(df, 4).collect()
+    assert sorted(r.doc_id for r in got) == list(range(len(texts)))
+    size, slots = Counter(), defaultdict(list)
+    for r in got:
+        size[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    assert len(size) == 4 and max(size.values()) < 1.03 * min(size.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    places = defaultdict(set)
+    for r in got:
+        places[texts[r.doc_id]].add(r.shard)
+    assert sum(len(p) > 1 for p in places.values()) == 1  # lots do not make more groups fall apart
+
+
 def test_place_balances_all_resources():
     sizes = np.random.default_rng(1).integers(1, 100, (4000, 3)).astype(float)
     sums = np.stack([np.bincount(sharding.place(sizes, 8), weights=sizes[:, k]) for k in range(3)], axis=1)
