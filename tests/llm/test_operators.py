@@ -257,6 +257,38 @@ def test_packing_puts_neighbours_together():
     assert np.mean([len(t) for t in by_window.values()]) < 3
 
 
+def test_packing_shards_by_content(monkeypatch, spark):
+    monkeypatch.setattr(packing, "SHARD_BYTES", 6000)
+    rng = random.Random(11)
+    texts = []
+    for _ in range(60):
+        words = sentence(rng, 120).split()
+        texts += [" ".join(rng.sample(words, 110)) for _ in range(4)]
+    texts += ["the same words again and again"] * 1000
+    df = spark.createDataFrame([(i * 7919 % 9973, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(3)
+    topic = {i * 7919 % 9973: i // 4 for i in range(240)}
+    shard, size = {}, Counter()
+    got = packing.pack(df, tokenizer_path()).collect()
+    assert sum(r.start == 0 for r in got) == len(texts)
+    for r in got:
+        if r.start == 0:
+            shard[r.doc_id] = r.sequence_id >> 32
+    for i, t in enumerate(texts):
+        size[shard[i * 7919 % 9973]] += len(t) + 16
+    assert len(size) > 20 and max(size.values()) < 3 * 6000  # copies of one text are spread
+    meet = [shard[a] == shard[b] for a in topic for b in topic if a < b and topic[a] == topic[b]]
+    assert np.mean(meet) > 0.4  # by chance about 0.02
+
+
+def test_neighbours_by_any_term_and_no_repeats():
+    heavy = [np.array([100 + i, 200 + i, 300 + i, *range(1000 + 40 * i, 1040 + 40 * i), 7, 1]) for i in range(3)]
+    rest = [np.array([7, *range(5000 + 9 * i, 5009 + 9 * i), 1]) for i in range(40)]
+    index = packing.Index([d.astype("<u2") for d in heavy + rest])
+    assert index.scores(0)[1] > 0 and (index.scores(0)[3:] > 0).all()  # only the lightest term is shared
+    index = packing.Index([heavy[0], heavy[0], heavy[1]], np.array([5, 5, 6]))
+    assert list(index.scores(0) > 0) == [False, False, True]
+
+
 def test_mixing(docs, rows, none):
     size = {i: len(re.findall(r"[^\x20\x09-\x0d]+", t or "")) for i, t, *_ in rows}
     source = {r[0]: r[3] for r in rows}

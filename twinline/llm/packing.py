@@ -11,12 +11,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from twinline.sources.scratch import materialize
+
 WINDOW = 2048
 END_ID = 1
 # Text bytes whose documents share one inverted index.
 SHARD_BYTES = 4 << 20
-# Heaviest terms of a seed that are looked up, and the usual BM25 constants.
-QUERY_TERMS = 12
+# Terms are 16-bit token ids. KEYS terms of a document say where it goes; NONE stands for a missing one.
+TERMS, KEYS, NONE = 1 << 16, 3, (1 << 16) - 1
+# Bins of a hot key for each shard that it fills.
+FAN = 8
+# The usual BM25 constants.
 K1, B = 1.2, 0.75
 # How byte-level BPE splits text before its merges (fixed value of that tokenizer family).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -37,36 +42,174 @@ def tokenizer(path: str):
     return tiktoken.Encoding("byte-bpe", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special)
 
 
-def token_rows(docs: DataFrame, path: str, shards: int) -> DataFrame:
-    """``shard, doc_id, ids``: token ids of each row as unsigned 16-bit values with the end id last."""
+def token_rows(docs: DataFrame, path: str) -> DataFrame:
+    """``doc_id, size, tie, ids``: token ids of each row as unsigned 16-bit values with the end id last; its text's bytes
+    plus 16; a hash of id and size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokenizer(path)
-        if encoder.n_vocab > 1 << 16:
+        if encoder.n_vocab > TERMS:
             raise ValueError("token ids must fit into 16 bits")
         for batch in batches:
             held, size, first = [], 0, 0
-            for i, text in enumerate(batch.column(2)):
+            for i, text in enumerate(batch.column(3)):
                 ids = np.append(encoder.encode_to_numpy(text.as_py() or "", allowed_special="all"), END_ID)
                 held.append(ids.astype("<u2").tobytes())
                 size += len(held[-1])
                 if size > 32 << 20 or i + 1 == len(batch):
                     part = batch.slice(first, len(held))
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(0), part.column(1), pa.array(held, pa.binary())], names=["shard", "doc_id", "ids"]
+                        [*part.columns[:3], pa.array(held, pa.binary())], names=["doc_id", "size", "tie", "ids"]
                     )
                     held, size, first = [], 0, i + 1
 
-    shard = F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(shards)).cast("int")
-    rows = docs.select(shard.alias("shard"), F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "shard int, doc_id bigint, ids binary")
+    text = F.col("text").cast("string")
+    size = F.coalesce(F.octet_length(text), F.lit(0)) + 16
+    tie = F.pmod(F.xxhash64("doc_id", F.octet_length(text)), F.lit((1 << 31) - 1))
+    rows = docs.select(F.col("doc_id").cast("bigint"), size.cast("bigint").alias("size"), tie.cast("bigint").alias("tie"), text.alias("text"))
+    return rows.mapInArrow(run, "doc_id bigint, size bigint, tie bigint, ids binary")
+
+
+def _ids(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), dtype="<u2") for x in column]
+
+
+def _summed(rows: DataFrame, bins: int, count) -> np.ndarray:
+    """Sum over all batches of ``count(batch)``, an array of ``bins`` whole numbers; a worker sends its sums only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(bins, dtype=np.int64)
+        for batch in batches:
+            sums += count(batch)
+        [at] = np.nonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(sums[at], pa.int64())], names=["bin", "n"])
+
+    out = np.zeros(bins, dtype=np.int64)
+    for r in rows.mapInArrow(run, "bin bigint, n bigint").groupBy("bin").agg(F.sum("n").alias("n")).collect():
+        out[r["bin"]] = r["n"]
+    return out
+
+
+def documents_of_terms(docs: list[np.ndarray]) -> np.ndarray:
+    """Number of documents that hold each term."""
+    distinct = [np.unique(ids[:-1]) for ids in docs]
+    return np.bincount(np.concatenate(distinct), minlength=TERMS) if docs else np.zeros(TERMS, dtype=np.int64)
+
+
+def ranks(spread: np.ndarray, n: int) -> np.ndarray:
+    """Place of each term in one random order for the whole corpus, in which a term's chance to come before others is in
+    proportion to its inverse document frequency. Terms of one document alone are last, as ``NONE``.
+
+    Two documents have the same first term with the chance of their weighted Jaccard similarity (weighted MinHash).
+    """
+    draws = -np.log1p(-np.random.default_rng(0).random(TERMS)) / np.log1p(max(n, 1) / np.maximum(spread, 1))
+    shared = np.flatnonzero(spread > 1)
+    out = np.full(TERMS, NONE, dtype=np.uint16)
+    out[shared[np.argsort(draws[shared], kind="stable")]] = np.arange(len(shared))
+    return out
+
+
+def first_terms(docs: list[np.ndarray], rank: np.ndarray) -> np.ndarray:
+    """The ``KEYS`` lowest ranks of the terms of each document, ``NONE`` where it has fewer."""
+    out = np.full((len(docs), KEYS), NONE, dtype=np.int64)
+    if docs:
+        lengths = np.array([len(ids) for ids in docs])
+        starts = np.cumsum(lengths) - lengths
+        flat = rank[np.concatenate(docs)]
+        flat[starts + lengths - 1] = NONE  # the end id
+        for k in range(KEYS):
+            least = np.minimum.reduceat(flat, starts)
+            out[:, k] = least
+            flat[flat == np.repeat(least, lengths)] = NONE
+    return out
+
+
+class Shards:
+    """Which shard a document goes to: by its first term; where that is hot (more than ``SHARD_BYTES``), by the bin of its
+    next one too, and so on; equal in all ``KEYS`` and still hot, by the hash of id and size."""
+
+    def __init__(self):
+        self.bins = TERMS
+        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # first bin of the next level or -1, its bins, shard
+        self.shards = 0
+
+    def place(self, keys: np.ndarray, ties: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bin of each document at the level after the last, -1 where it has its shard already; the shard."""
+        at, shard = keys[:, 0].copy(), np.full(len(keys), -1, dtype=np.int64)
+        for level, (base, fan, own) in enumerate(self.levels, 1):
+            live = np.flatnonzero(at >= 0)
+            here = at[live]
+            mark = (keys[live, level] * 40503 & NONE) if level < KEYS else ties[live]
+            done = base[here] < 0
+            shard[live[done]] = own[here[done]]
+            at[live] = np.where(done, -1, base[here] + mark % np.maximum(fan[here], 1))
+        return at, shard
+
+    def add(self, sizes: np.ndarray) -> bool:
+        """Take the bytes of each bin of the next level; tells whether another level is needed."""
+        last = len(self.levels) == KEYS
+        hot = (sizes > SHARD_BYTES) & (not last)
+        fan = np.where(hot, -(-sizes // SHARD_BYTES) * (1 if len(self.levels) == KEYS - 1 else FAN), 0)
+        base = np.where(hot, np.cumsum(fan) - fan, -1)
+        rest = np.where(hot, 0, sizes)
+        # neighbouring bins fill a shard together; bins by hash of id have one each
+        own = np.arange(len(sizes)) if last else (np.cumsum(rest) - rest // 2) // SHARD_BYTES
+        self.levels.append((base, fan, own + self.shards))
+        self.shards += int(own.max(initial=-1)) + 1
+        self.bins = int(fan.sum())
+        return self.bins > 0
+
+
+def content_shards(rows: DataFrame) -> tuple[np.ndarray, Shards]:
+    """Ranks of the terms of ``token_rows`` and the shards of about ``SHARD_BYTES`` for them.
+
+    The driver gets at most one number for each term and bin.
+    """
+    n = rows.count()
+    rank = ranks(_summed(rows.select("ids"), TERMS, lambda batch: documents_of_terms(_ids(batch.column(0)))), n)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = first_terms(_ids(batch.column(2)), rank)
+            columns = [*batch.columns[:2], *(pa.array(keys[:, k]) for k in range(KEYS))]
+            yield pa.RecordBatch.from_arrays(columns, names=["size", "tie", *(f"k{k}" for k in range(KEYS))])
+
+    schema = ", ".join(["size bigint", "tie bigint", *(f"k{k} bigint" for k in range(KEYS))])
+    keyed = materialize(rows.select("size", "tie", "ids").mapInArrow(run, schema), "shard-keys")
+    shards, more = Shards(), True
+    while more:
+
+        def count(batch: pa.RecordBatch, shards: Shards = shards) -> np.ndarray:
+            size, tie, *keys = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            at, _ = shards.place(np.stack(keys, axis=1), tie)
+            live = at >= 0
+            sums = np.zeros(shards.bins, dtype=np.int64)
+            np.add.at(sums, at[live], size[live])
+            return sums
+
+        more = shards.add(_summed(keyed, shards.bins, count))
+    return rank, shards
+
+
+def sharded(rows: DataFrame, rank: np.ndarray, shards: Shards) -> DataFrame:
+    """``shard, doc_id, ids`` of ``token_rows``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, shard = shards.place(first_terms(_ids(batch.column(2)), rank), batch.column(1).to_numpy())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shard, pa.int32()), batch.column(0), batch.column(2)], names=["shard", "doc_id", "ids"]
+            )
+
+    return rows.select("doc_id", "tie", "ids").mapInArrow(run, "shard int, doc_id bigint, ids binary")
 
 
 class Index:
-    """BM25 over the documents of one shard; terms are token ids."""
+    """BM25 over the documents of one shard; terms are token ids. Documents of one name are repeats."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], names: np.ndarray | None = None):
         n = len(docs)
+        self.names = np.arange(n) if names is None else names
         terms, owner, counts = [], [], []
         for d, ids in enumerate(docs):
             t, c = np.unique(ids[:-1], return_counts=True)
@@ -83,19 +226,18 @@ class Index:
         weight = idf[term] * count * (K1 + 1) / (count + norm[doc])
         order = np.argsort(term, kind="stable")
         self.doc, self.weight, self.starts = doc[order], weight[order], np.append(0, np.cumsum(spread))
-        self.own_terms, self.own_weight = term, weight
+        self.own_terms = term
 
     def scores(self, seed: int) -> np.ndarray:
-        """BM25 of every document against the heaviest terms of ``seed``."""
-        a, b = self.own[seed], self.own[seed + 1]
-        terms, weight = self.own_terms[a:b], self.own_weight[a:b]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argpartition(-weight, QUERY_TERMS)[:QUERY_TERMS]]
+        """BM25 of every document against all terms of ``seed``; 0 for the seed and its repeats."""
+        terms = self.own_terms[self.own[seed] : self.own[seed + 1]]
         if not len(terms):
             return np.zeros(self.n)
         ranges = [slice(self.starts[t], self.starts[t + 1]) for t in terms.astype(np.int64)]
         found = np.concatenate([self.doc[r] for r in ranges])
-        return np.bincount(found, weights=np.concatenate([self.weight[r] for r in ranges]), minlength=self.n)
+        out = np.bincount(found, weights=np.concatenate([self.weight[r] for r in ranges]), minlength=self.n)
+        out[self.names == self.names[seed]] = 0
+        return out
 
 
 def fill_windows(lengths: list[int], index: Index, window: int) -> Iterator[tuple[int, int, int, int, int]]:
@@ -157,9 +299,11 @@ def _pack(window: int):
         order = np.lexsort((np.arange(len(table)), table["doc_id"].to_numpy(zero_copy_only=False)))
         table = table.take(pa.array(order))
         shard = table["shard"][0].as_py()
-        docs = [np.frombuffer(x.as_buffer(), dtype="<u2") for x in table["ids"]]
+        docs = _ids(table["ids"])
         lengths = [len(d) for d in docs]
-        rows = list(fill_windows(lengths, Index(docs), window))
+        names = table["doc_id"].combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy().astype(np.int64)
+        names = np.where(names < 0, -1 - np.arange(len(names)), names)  # rows without an id repeat none
+        rows = list(fill_windows(lengths, Index(docs, names), window))
         doc, start, length, sequence, offset = (np.array(x, dtype=np.int64) for x in zip(*rows, strict=True))
         crc = [zlib.crc32(docs[d][s : s + m].astype("<u4").tobytes()) for d, s, m, _, _ in rows]
         return pa.table(
@@ -180,15 +324,15 @@ def _pack(window: int):
 def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFrame:
     """Pieces of every row of ``docs(doc_id, text)`` in sequences of at most ``window`` tokens.
 
-    Rows go by a hash of id and size to shards of about ``SHARD_BYTES`` of text (one long text can be more); each shard
-    is a BM25 inverted index that hands out unused neighbours (``fill_windows``). A row's tokens are its text's ids and
-    the end id; null and empty texts have that id alone. Repeated rows are packed each on its own, with their ids'
-    order; a null ``doc_id`` stays null. Sequences are full, or at the end of a shard a power of two long. No rows
+    Rows go by content (``Shards``) to shards of about ``SHARD_BYTES`` of text (one long text can be more), so that similar
+    texts tend to share one; each shard is a BM25 inverted index that hands out unused neighbours (``fill_windows``). A
+    neighbour in another shard is out of reach. A row's tokens are its text's ids and the end id; null and empty texts
+    have that id alone. Repeated rows are packed each on its own, with their ids' order, and are not neighbours of each
+    other; a null ``doc_id`` stays null. Sequences are full, or at the end of a shard a power of two long. No rows
     give no pieces. Other columns are not read.
     """
-    total = docs.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
-    shards = max(1, -(-total // SHARD_BYTES))
-    rows = token_rows(docs, tokenizer_path, shards)
+    tokens = materialize(token_rows(docs, tokenizer_path), "token-ids")
+    rows = sharded(tokens, *content_shards(tokens))
     schema = (
         "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
     )
