@@ -420,6 +420,25 @@ def test_text_density(spark):
     assert all(r.n_chars == len(r.text) for r in got.values())
 
 
+BODY = "".join(f"<p>Paragraph {i} of the text, long enough to count as one that a reader would want to see whole.</p>" for i in range(6))
+
+
+@pytest.mark.parametrize("wrap", ['div class="layout with-sidebar"', 'div class="has-comments"', 'div class="no-menu"', "form action=x", 'div class="sidebar"'])
+@pytest.mark.parametrize("body", [f"<article><h1>Title</h1>{BODY}</article>", f"<div><h1>Title</h1>{BODY}</div>", f"<div>{BODY}</div>"])
+def test_marks_do_not_drop_what_holds_the_text(wrap, body):
+    page = f'<html><body><nav><a href=a>Menu</a></nav><{wrap}>{body}<div class="comments"><p>hi there</p></div></{wrap.split()[0]}></body></html>'
+    text = text_density.main_text(page)
+    assert all(f"Paragraph {i} " in text for i in range(6)) and "hi there" not in text and "Menu" not in text
+
+
+@pytest.mark.parametrize("name", ["discussion", "search", "login", "navigation", "alert", "share"])
+def test_sections_named_like_marks_stay(name):
+    part = "<p>This section is as much a part of the paper as any of the others, with whole sentences of text.</p>" * 2
+    links = f'<div id="{name}-links">' + "<a href=x>one link</a> " * 5 + "</div>"
+    text = text_density.main_text(f'<body><article><h1>T</h1>{BODY}<section id="{name}"><h2>Head</h2>{part}</section>{links}</article></body>')
+    assert text.count("as much a part") == 2 and "Paragraph 5" in text and "one link" not in text
+
+
 @pytest.mark.parametrize("cut", ["<", "<a", '<a href="x', "<!--", "</", "&am", "<script>", "<p", "<![CDATA["])
 def test_cut_pages(cut):
     assert text_density.main_text(f"<article><p>some text here</p>{cut}").startswith("some text here")

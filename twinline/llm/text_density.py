@@ -47,6 +47,8 @@ MARKS = frozenset(
     recommended recommendations share sharing social toolbar login search pagination pager skip complementary contentinfo alert
     alertdialog""".split()
 )
+# How sure a mark is: not at all, a word among others, a whole class or role, the tag of a page's head, in every case.
+NOT_MARKED, BY_WORD, BY_TOKEN, BY_TAG, ALWAYS = range(5)
 HEADS = frozenset(["header", "heading", "topbar"])
 # Never dropped for their marks: they hold the page or the article.
 HOLDERS = frozenset(["html", "body", "article", "main"])
@@ -58,6 +60,7 @@ class Page:
 
     def __init__(self, html: str):
         self.tag, self.parent, self.dropped, self.titled = ["root"], [-1], [False], [False]
+        self.marked, self.inside = [NOT_MARKED], [False]
         self.texts: list[tuple[int, str]] = []
         self.stack = [0]
         at, low = 0, None
@@ -80,6 +83,7 @@ class Page:
                 at = close if close >= 0 else len(html)
         if at < len(html):
             self._text(html[at:])
+        self._drop()
 
     def _text(self, text: str) -> None:
         self.texts.append((self.stack[-1], entities.unescape(text) if "&" in text else text))
@@ -95,7 +99,9 @@ class Page:
         node = len(self.tag)
         self.tag.append(name)
         self.parent.append(up)
-        self.dropped.append(self.dropped[up] or self._is_marked(name, attributes))
+        self.dropped.append(False)
+        self.inside.append(self.inside[up] or self.tag[up] in ("article", "main"))
+        self.marked.append(self._mark(name, attributes, self.inside[node]))
         self.titled.append(False)
         if name == "h1":
             for i in self.stack:
@@ -107,27 +113,68 @@ class Page:
         elif name not in INLINE:
             self.texts.append((node, ""))  # text before and after it are blocks of their own
 
-    def _is_marked(self, name: str, attributes: str) -> bool:
+    def _mark(self, name: str, attributes: str, inside: bool) -> int:
+        """How sure tag and attributes are that an element is no main text."""
         if name in NEVER:
-            return True
+            return BY_WORD if name == "form" else ALWAYS
         if name in HOLDERS:
-            return False
-        inside = any(self.tag[i] in ("article", "main") for i in self.stack)
+            return NOT_MARKED
         if name == "header" and not inside:
-            return True
-        if not attributes.strip():
-            return False
-        for m in ATTRIBUTE.finditer(attributes):
+            return BY_TAG
+        mark = NOT_MARKED
+        for m in ATTRIBUTE.finditer(attributes) if attributes.strip() else ():
             key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-                return True
+                return ALWAYS
             if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return True
+                return ALWAYS
             if key in ("class", "id", "role"):
+                if key != "id" and MARKS.intersection(value.lower().split()):
+                    mark = BY_TOKEN
                 words = {w.lower() for w in WORD.findall(value)}
                 if words & MARKS or not inside and words & HEADS:
-                    return True
-        return False
+                    mark = max(mark, BY_WORD)
+        return mark
+
+    def _drop(self) -> None:
+        """Drop marked elements with all they hold.
+
+        Not for its words: what holds an article, main or h1, or most of the page's unlinked characters; inside an article,
+        unless a whole class or role is the mark, what is not mostly links or thinner than the article.
+        """
+        n = len(self.tag)
+        never = [False] * n
+        for i in range(1, n):
+            never[i] = never[self.parent[i]] or self.marked[i] == ALWAYS
+        chars, tags, linked, holds, in_link = [0] * n, [1] * n, [0] * n, [False] * n, [False] * n
+        for i in range(1, n):
+            in_link[i] = in_link[self.parent[i]] or self.tag[i] == "a"
+        for i, text in self.texts:
+            if not never[i]:
+                size = sum(map(len, text.split()))
+                chars[i] += size
+                linked[i] += size if in_link[i] else 0
+        for i in range(n - 1, 0, -1):
+            if not never[i]:
+                up = self.parent[i]
+                chars[up] += chars[i]
+                linked[up] += linked[i]
+                tags[up] += tags[i]
+                holds[up] |= holds[i] or self.tag[i] in ("article", "main", "h1")
+        article = [0] * n  # nearest article or main around each element
+        for i in range(1, n):
+            up = self.parent[i]
+            article[i] = up if self.tag[up] in ("article", "main") else article[up]
+            self.dropped[i] = self.dropped[up] or never[i]
+            if self.dropped[i] or self.marked[i] == NOT_MARKED:
+                continue
+            if self.marked[i] == BY_TAG:
+                self.dropped[i] = True
+            elif not holds[i] and 2 * (chars[i] - linked[i]) <= chars[0] - linked[0]:
+                sure = self.marked[i] == BY_TOKEN or self.tag[i] == "form" or not self.inside[i]
+                outer = article[i]
+                thin = chars[i] * tags[outer] < chars[outer] * tags[i]
+                self.dropped[i] = sure or thin or 2 * linked[i] > chars[i]
 
     def _close(self, names: set[str], scopes: set[str]) -> None:
         for depth in range(len(self.stack) - 1, 0, -1):
@@ -235,7 +282,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages(page_id, url, html)``.
 
     Elements that say what they are (menus, footers, forms, scripts, adverts, comments and so on, by tag, class, id or role) are
-    left out. For the others the density of characters per tag, adjusted for links, is summed over children; the container of
+    left out. A form or a word of class, id or role does not count where the element holds an article, a heading h1 or most of
+    the page's unlinked text, nor inside an article where the word is only part of a name and the text as dense as the rest. For the others the density of characters per tag, adjusted for links, is summed over children; the container of
     the largest sum and any other as dense as the thinnest element on its path to the root are the main text.
 
     Null html is empty, unclosed and cut tags end where HTML ends them, whole pages are read whatever their length. Rows are
