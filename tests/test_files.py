@@ -283,6 +283,36 @@ def test_command_line(spark, tmp_path, configured, capsys):
     assert "hypothesis> Hello number 1" in out and "BLEU score:" in out
 
 
+def test_build_writes_the_weighted_corpora(spark, tmp_path, configured):
+    conf, folders = configured
+    _file(tmp_path / "w" / "source.txt", "raw\n raw \n" + "x " * 200 + "\nthird\nfourth\n")
+    _file(tmp_path / "w" / "target.txt", "crudo\ncrudo\ny\nterzo\nquarto\n")
+    conf["filters"] = ["duplicates", {"char_length": {"min": 3}}]
+    out = str(tmp_path / "out")
+    folder = [f"--folder={name}={path}" for name, path in folders.items()]
+    args = ["build", *folder, "--out", out, "--state", str(tmp_path / "st"), "--config"]
+    cli([*args, _file(tmp_path / "c.json", json.dumps(conf))])
+    mix = text.read_parallel(spark, f"{out}/file=src-mix", f"{out}/file=tgt-mix").orderBy("line_no").collect()
+    train = text.read_parallel(spark, f"{out}/file=src-train", f"{out}/file=tgt-train").collect()
+    weighted = [("raw", "crudo"), (" raw ", "crudo"), ("third", "terzo"), ("fourth", "quarto")]
+    got = [(r["src"], r["tgt"]) for r in mix]
+    assert sorted(got) == sorted([*weighted, *((r["src"], r["tgt"]) for r in train)])  # the line of 200 words is too long
+    assert [got[i] for i in (1, 2, 4, 5)] == weighted  # one merged pair, then two of the corpus
+    sample = [r["value"] for r in spark.read.text(f"{out}/file=sample").collect()]
+    assert len(sample) == 2 * (len(train) + 5) and " raw " in sample
+    report = spark.read.json(f"{out}/file=rejections").collect()
+    assert {r["source"] for r in report} >= {conf["sources"][0]} and all(r["removed"] > 0 for r in report)
+
+    conf["sources"] = [conf["sources"][2]]
+    for code, line in (("en", "dev"), ("it", "prova")):
+        _file(tmp_path / "eval" / "devtest" / f"{text.languages.codes()[code]}.devtest", f"{line}\n")
+    cli([*args, _file(tmp_path / "all.json", json.dumps(conf)), "--evaluation", str(tmp_path / "eval")])
+    rows = text.read_parallel(spark, f"{out}/file=src-val", f"{out}/file=tgt-val").collect()
+    assert [(r["src"], r["tgt"]) for r in rows] == [("dev", "prova")]
+    rows = text.read_parallel(spark, f"{out}/file=src-mix", f"{out}/file=tgt-mix").orderBy("line_no").collect()
+    assert [(r["src"], r["tgt"]) for r in rows] == weighted
+
+
 def test_part_files_are_read_by_number_and_counted_when_empty(spark, tmp_path):
     for n, content in ((99999, "a\nb\n"), (100000, "c\n"), (7, ""), (100001, "d\ne")):
         _file(tmp_path / "parts" / f"part-{n:05d}.txt", content)

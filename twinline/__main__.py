@@ -25,6 +25,9 @@ def _parser() -> argparse.ArgumentParser:
         )
     commands.choices["build"].add_argument("--out", required=True)
     commands.choices["build"].add_argument("--state", required=True, help="table remembering the last build")
+    commands.choices["build"].add_argument(
+        "--evaluation", metavar="ROOT", help="evaluation set whose devtest is for validation where all corpora are weighted"
+    )
     commands.choices["find"].add_argument("--text", required=True)
     commands.choices["find"].add_argument("--exact", action="store_true")
     score = commands.add_parser("bleu")
@@ -45,7 +48,11 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "build":
         plan, folders = _plan(args)
         corpora = build.read_corpora(spark, plan, folders)
-        ran = build.run(spark, plan, corpora, args.out, args.state)
+        evaluation = None
+        if plan.all_weighted and args.evaluation:
+            sides = [text.read_eval_set(spark, args.evaluation, lang, "devtest") for lang in (plan.src_lang, plan.tgt_lang)]
+            evaluation = text.eval_pairs(sides[0].unionByName(sides[1]), plan.src_lang, plan.tgt_lang, "devtest")
+        ran = build.run(spark, plan, corpora, args.out, args.state, evaluation=evaluation)
         print(f"written to {args.out}" if ran else "no changes in sources")
     elif args.command == "find":
         plan, folders = _plan(args)

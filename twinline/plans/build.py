@@ -4,16 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, Window, functions as F
 
 from twinline.operators import merge, selection
+from twinline.operators.chain import rejection_report
+from twinline.operators.mix import weighted_mix
 from twinline.plans.config import CATALOGUE_PREFIX, FOLDER_PREFIX, Plan, manifest
 from twinline.sources import catalogue as catalogues
 from twinline.sources import text
 from twinline.sources.scratch import materialize
 
+# Name and weight of the merged training pairs in the mix, and lines that are numbered together.
+MERGED, MERGED_WEIGHT = "(merged)", 1
+BLOCK = 1 << 14
+
 
 @dataclass(frozen=True)
 class Built:
@@ -111,9 +118,60 @@ def sentence_sample(built: Built, plan: Plan, seed: int | str = 0) -> DataFrame:
     return selection.training_sample(pairs, columns[:3], plan.input_sentence_size, seed)
 
 
+def renumbered(pairs: DataFrame) -> DataFrame:
+    """``line_no`` and ``n_lines`` counted anew for each corpus, in the order of the lines that are left."""
+    blocks = pairs.withColumn("block", F.floor(F.col("line_no") / BLOCK))
+    whole = Window.partitionBy("source")
+    earlier = whole.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    counts = blocks.groupBy("source", "block").agg(F.count("*").alias("n"))
+    counts = counts.select(
+        "source", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"), F.sum("n").over(whole).alias("n_lines")
+    )
+    rank = F.row_number().over(Window.partitionBy("source", "block").orderBy("line_no"))
+    ranked = blocks.withColumn("rank", rank).drop("n_lines").join(counts, ["source", "block"])
+    return ranked.withColumn("line_no", F.col("before") + F.col("rank")).drop("block", "rank", "before")
+
+
+def mixed(built: Built, plan: Plan, seed: int | str = 0) -> DataFrame | None:
+    """The training pairs in shuffled order and the weighted corpora, those of up to ``max_tokens``, mixed by weight until
+    all are used up; None without weighted corpora. The merged pairs have the weight ``MERGED_WEIGHT``."""
+    if built.weighted is None:
+        return None
+    columns = ["source", "source_ord", "line_no", "src", "tgt"]
+    parts, weights = [built.weighted.select(*columns)], dict(plan.weights)
+    if not plan.all_weighted:
+        train = selection.shuffle_corpus(built.pairs.filter("split = 'train'"), seed, merge.POSITION)
+        named = {"source": F.lit(MERGED), "source_ord": F.lit(-1), "line_no": F.col("position")}
+        parts.append(train.withColumns(named).select(*columns))
+        weights[MERGED] = MERGED_WEIGHT
+    short = materialize(selection.max_tokens(reduce(DataFrame.unionByName, parts)), "short")
+    return weighted_mix(materialize(renumbered(short), "numbered"), weights)
+
+
+def rejections(plan: Plan, corpora: Mapping[str, DataFrame]) -> DataFrame | None:
+    """Pairs that the filters removed from each merged corpus; None if no corpus has filters."""
+    reports = [rejection_report(corpora[c.name], c.chain) for c in plan.corpora if c.weight is None and c.chain.filters]
+    return reduce(DataFrame.unionByName, reports) if reports else None
+
+
 def export(built: Built, path: str) -> None:
-    """Aligned text files of both splits in shuffled (key) order, in place of those of an earlier build."""
-    text.write_parallel(built.pairs, path, ["key", *merge.POSITION], split=F.col("split"), mode="overwrite")
+    """Aligned text files of both splits in shuffled (key) order, in place of those of an earlier build.
+
+    An evaluation set keeps the order of its lines.
+    """
+    order = ["key", *merge.POSITION] if "key" in built.pairs.columns else ["line_no"]
+    text.write_parallel(built.pairs, path, order, split=F.col("split"), mode="overwrite")
+
+
+def export_rest(built: Built, plan: Plan, corpora: Mapping[str, DataFrame], path: str, seed: int | str = 0) -> None:
+    """Beside the splits: the mix (``file=src-mix``, ``file=tgt-mix``), the sentence sample and, as JSON, the rejections."""
+    mix = mixed(built, plan, seed)
+    if mix is not None:
+        text.write_parallel(mix, path, ["position"], split="mix", mode="append")
+    sentence_sample(built, plan, seed).select("text").write.mode("overwrite").text(f"{path}/file=sample")
+    report = rejections(plan, corpora)
+    if report is not None:
+        report.write.mode("overwrite").json(f"{path}/file=rejections")
 
 
 def run(
@@ -128,7 +186,9 @@ def run(
     [verdict] = merge.sources_changed(current, read_state(spark, state)).collect()
     if not verdict["changed"]:
         return False
-    export(build_corpus(spark, plan, corpora, **options), out)
+    built = build_corpus(spark, plan, corpora, **options)
+    export(built, out)
+    export_rest(built, plan, corpora, out, options.get("seed", 0))
     current.write.mode("overwrite").parquet(state)
     return True
 
