@@ -116,9 +116,32 @@ FROM (SELECT DISTINCT doc_id FROM documents) LEFT JOIN per_doc USING (doc_id)
 """
 )
 
+INFILL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w,
+    sha256('1:' || CAST(doc_id AS VARCHAR)) AS h FROM documents
+), drawn AS (
+  SELECT *, CAST(len(w) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+    CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d
+), ranks AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn
+), parts AS (
+  SELECT *, array_to_string(w[1:a], '') AS p, array_to_string(w[a+1:b], '') AS m, array_to_string(w[b+1:n], '') AS s FROM ranks
+), written AS (
+  SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END AS output FROM parts
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars, sha256(output) AS output_sha256, sha256(t) AS restored_sha256
+FROM written
+"""
+
 ORACLES = {
     "op3_norm_sorted_topk": TOPK,
     "op6_ownership_secrets": SECRETS,
     "op7_cover_tree": COSINE,
     "op8_odd_sketch": SHINGLES,
+    "op13_skip_list_infill": INFILL,
 }

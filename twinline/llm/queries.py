@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from twinline.llm import cover_tree, mixing, odd_sketch, ordinal, packing, secrets, sharding, text_density, topk, url_trees
+from twinline.llm import cover_tree, infill, mixing, odd_sketch, ordinal, packing, secrets, sharding, text_density, topk, url_trees, whitening
 from twinline.llm.oracles import ORACLES  # noqa: F401
 from twinline.sources.tables import load
 
@@ -83,6 +83,19 @@ def op10_entropy_balancing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(load(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
 
+def op12_qd_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    rows = whitening.per_component(whitening.whiten(load(spark, sf, "embeddings"), components=16, scale=64, offset=1_000_000))
+    # null where a long can't hold the exact sum
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op13_skip_list_infill(spark: SparkSession, sf: str) -> DataFrame:
+    done = infill.infill(load(spark, sf, "documents"), seed=1, plain_percent=10, spm_percent=20)
+    digests = {
+        "output_sha256": F.sha2("output", 256),
+        "restored_sha256": F.sha2(infill.restored(F.col("output"), F.col("form")), 256),
+    }
+    return done.withColumns(digests).drop("text", "output")
 
 
 QUERIES: dict[str, Query] = {
@@ -96,4 +109,6 @@ QUERIES: dict[str, Query] = {
     "op8_odd_sketch": op8_odd_sketch,
     "op9_retrieval_packing": op9_retrieval_packing,
     "op10_entropy_balancing": op10_entropy_balancing,
+    "op12_qd_whitening": op12_qd_whitening,
+    "op13_skip_list_infill": op13_skip_list_infill,
 }
