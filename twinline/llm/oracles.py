@@ -116,6 +116,25 @@ FROM (SELECT DISTINCT doc_id FROM documents) LEFT JOIN per_doc USING (doc_id)
 """
 )
 
+REPEATS = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), windows AS (
+  SELECT r, i, sha256(array_to_string(w[i:i+34], ' ')) AS h FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d)
+), repeated AS (
+  SELECT r, i FROM windows WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)
+), covered AS (
+  SELECT DISTINCT r, i + k AS i FROM repeated, (SELECT unnest(range(35)) AS k)
+), kept AS (
+  SELECT r, string_agg(x, ' ' ORDER BY i) AS text, count(*) AS n
+  FROM (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d) ANTI JOIN covered USING (r, i) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
 INFILL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w,
@@ -143,5 +162,6 @@ ORACLES = {
     "op6_ownership_secrets": SECRETS,
     "op7_cover_tree": COSINE,
     "op8_odd_sketch": SHINGLES,
+    "op11_superkmer_repeats": REPEATS,
     "op13_skip_list_infill": INFILL,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from twinline.llm import cover_tree, infill, mixing, odd_sketch, ordinal, packing, secrets, sharding, text_density, topk, url_trees, whitening
+from twinline.llm import cover_tree, infill, mixing, odd_sketch, ordinal, packing, secrets, sharding, superkmers, text_density, topk, url_trees, whitening
 from twinline.llm.oracles import ORACLES  # noqa: F401
 from twinline.sources.tables import load
 
@@ -83,6 +83,11 @@ def op10_entropy_balancing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(load(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
 
+def op11_superkmer_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    kept = superkmers.remove_repeats(load(spark, sf, "documents"), width=35)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op12_qd_whitening(spark: SparkSession, sf: str) -> DataFrame:
     rows = whitening.per_component(whitening.whiten(load(spark, sf, "embeddings"), components=16, scale=64, offset=1_000_000))
     # null where a long can't hold the exact sum
@@ -109,6 +114,7 @@ QUERIES: dict[str, Query] = {
     "op8_odd_sketch": op8_odd_sketch,
     "op9_retrieval_packing": op9_retrieval_packing,
     "op10_entropy_balancing": op10_entropy_balancing,
+    "op11_superkmer_repeats": op11_superkmer_repeats,
     "op12_qd_whitening": op12_qd_whitening,
     "op13_skip_list_infill": op13_skip_list_infill,
 }

@@ -17,7 +17,7 @@ _RANDOM = np.random.default_rng(20240229)
 _VALUES = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FOLDED = _VALUES.copy()
 _FOLDED[65:91] = _VALUES[97:123]
-_PLACES = _RANDOM.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+PLACES = _RANDOM.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -102,19 +102,39 @@ def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
 
     A text with fewer words gives its whole sequence as one; one without words, or null, gives none.
     """
-    if not 1 <= width < len(_PLACES):
-        raise ValueError(f"width must be 1 to {len(_PLACES) - 1}")
+    if not 1 <= width < len(PLACES):
+        raise ValueError(f"width must be 1 to {len(PLACES) - 1}")
     for first, last, words, doc in word_hashes(texts):
         bounds = np.searchsorted(doc, np.arange(last - first + 1))
         rolled = np.zeros(max(0, len(words) - width + 1), dtype=np.uint64)
         for k in range(width):
-            rolled += words[k : k + len(rolled)] * _PLACES[k]
+            rolled += words[k : k + len(rolled)] * PLACES[k]
         rolled = mix(rolled)
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             if b - a >= width:
                 yield np.unique(rolled[a : b - width + 1])
             elif b > a:
-                short = np.append(words[a:b] * _PLACES[: b - a], _PLACES[b - a - 1 : b - a] * _PLACES[-1:])
+                short = np.append(words[a:b] * PLACES[: b - a], PLACES[b - a - 1 : b - a] * PLACES[-1:])
                 yield mix(short.sum(keepdims=True, dtype=np.uint64))
             else:
                 yield np.zeros(0, dtype=np.uint64)
+
+
+def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
+    """Hash of each ``width`` consecutive word hashes; equal windows have equal hashes, the reverse is for the caller to confirm."""
+    n = len(words)
+    if n < width:
+        return np.zeros(0, dtype=np.uint64)
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(words * _power("up", _BASE, n), out=sums[1:])
+    return mix((sums[width:] - sums[:-width]) * _power("down", pow(_BASE, -1, 2**64), n)[: n - width + 1])
+
+
+def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
+    """Minimum of each ``width`` consecutive values, by doubling."""
+    done = 1
+    while done < width:
+        step = min(done, width - done)
+        values = np.minimum(values[:-step], values[step:]) if len(values) > step else values[:0]
+        done += step
+    return values
