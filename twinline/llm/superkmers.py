@@ -300,7 +300,7 @@ class Bucket:
         fresh = np.ones(len(owner), dtype=bool)
         fresh[1:] = (owner[1:] != owner[:-1]) | (local[1:] > local[:-1] + width)
         head = np.flatnonzero(fresh)
-        tail = np.append(head[1:], len(owner)) - 1
+        tail = np.append(head[1:], len(owner))[: len(head)] - 1
         string = owner[head]
         # one row for each place the string comes from
         n = self.refs[string]
