@@ -7,9 +7,12 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from twinline.functions import chars
 from twinline.operators import bleu, subword
 from twinline.sources import models
 
@@ -159,12 +162,21 @@ def test_sp_decode(spark):
     assert [r[0] for r in df.select(subword.sp_decode(F.col("p"))).collect()] == ["Hello  x", "a b", ""]
 
 
+# The tokenizer as it is usually stated: replacements by pattern, in order.
+PATTERNS = (
+    (r"([{-~\[-`!-&(-+:-@/])", r" \1 "),
+    (r"([^0-9])([.,])", r"\1 \2 "),
+    (r"([.,])([^0-9])", r" \1 \2"),
+    (r"([0-9])(-)", r"\1 \2 "),
+)
+
+
 def naive_tokens(text):
     for old, new in bleu.PLAIN:
         text = text.replace(old, new)
     text = f" {text} "
-    for pattern, new in bleu.PATTERNS:
-        text = re.sub(pattern, re.sub(r"\$(\d)", r"\\\1", new), text)
+    for pattern, new in PATTERNS:
+        text = re.sub(pattern, new, text)
     return text.split()
 
 
@@ -189,6 +201,26 @@ def naive_bleu(pairs):
     return round(100 * brevity * math.exp(logs / 4), 5), hyp_len, ref_len
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text("01.,-a é\n\t\u3000\x1f!/'<&;😀", max_size=14) | st.sampled_from([None, "1..2", "a..5", "a...5", ".5-", "&amp;lt;", "x-\ny"]), max_size=5))
+def test_tokens_agree_with_the_patterns(texts):
+    tokens, text = bleu.tokenized(pa.array(texts, pa.string()), chars.blank())
+    got = [[t.decode() for t, at in zip(tokens.to_pylist(), text) if at == k] for k in range(len(texts))]
+    assert got == [naive_tokens(t or "") for t in texts]
+
+
+def test_blocks_of_any_size_give_the_same_sums(spark, monkeypatch):
+    rng = random.Random(3)
+    words = ["a", "b", "c.", "1,5", "d-e", "3-"]
+    pairs = [tuple(" ".join(rng.choices(words, k=rng.randint(0, 9))) or None for _ in "hr") for _ in range(80)]
+    df = spark.createDataFrame(pairs, "hyp string, ref string").repartition(3)
+    whole = bleu.ngram_counts(df).first()
+    monkeypatch.setattr(bleu, "BLOCK_BYTES", 10)
+    assert bleu.ngram_counts(df).first() == whole
+    assert bleu.corpus_bleu(df).head()["bleu"] == pytest.approx(naive_bleu([(h or "", r or "") for h, r in pairs])[0], abs=1e-5)
+    assert tuple(bleu.corpus_bleu(df.limit(0)).head()) == (0.0, 0, 0)
+
+
 @pytest.mark.parametrize(
     "pairs",
     [

@@ -1,76 +1,146 @@
-"""Corpus BLEU (Papineni et al. 2002) with the mteval-v13a tokenizer and exponential smoothing (Post 2018)."""
+"""Corpus BLEU (Papineni et al. 2002) with the mteval-v13a tokenizer and exponential smoothing (Post 2018).
+
+Counting n-grams is a multiset intersection per sentence. It runs on Arrow batches, a block of sentences at a time: tokens
+become integers once, an n-gram is the pair of the (n-1)-gram before it and its last token, and only n-grams whose
+(n-1)-gram matched are ranked at all. The job is narrow; nine sums leave a batch.
+"""
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, functions as F
 
 from twinline.functions import chars
 
-# Longest n-gram, and the tokenizer's replacements in order (plain text, then patterns).
+# Ship this module's functions with the job, so workers need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Longest n-gram; the tokenizer's plain replacements in order, the characters that are tokens of their own,
+# and the two that are unless they stand between digits.
 ORDER = 4
 PLAIN = (("<skipped>", ""), ("-\n", ""), ("\n", " "), ("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"))
-PATTERNS = (
-    (r"([{-~\[-`!-&(-+:-@/])", " $1 "),
-    (r"([^0-9])([.,])", "$1 $2 "),
-    (r"([.,])([^0-9])", " $1 $2"),
-    (r"([0-9])(-)", "$1 $2 "),
-)
+SYMBOLS = "!\"#$%&()*+/:;<=>?@[\\]^_`{|}~"
+POINTS = ".,"
+# Bytes of sentences counted at once; one longer sentence is counted alone.
+BLOCK_BYTES = 4 << 20
+SUMS = [f"matched_{n}" for n in range(1, ORDER + 1)] + [f"total_{n}" for n in range(1, ORDER + 1)] + ["ref_total_1"]
 
 
-def tokenize_13a(text: Column) -> Column:
-    for old, new in PLAIN:
-        text = F.replace(text, F.lit(old), F.lit(new))
-    text = F.concat(F.lit(" "), text, F.lit(" "))
-    for pattern, new in PATTERNS:
-        text = F.regexp_replace(text, pattern, F.lit(new))
-    return F.array_remove(F.split(text, f"[{chars.blank()}]+", -1), "")
+def _listed(characters: str) -> np.ndarray:
+    """Whether a byte is one of these ASCII characters."""
+    table = np.zeros(256, dtype=bool)
+    table[list(characters.encode())] = True
+    return table
 
 
-def _with_ngrams(df: DataFrame, side: str) -> DataFrame:
-    """Columns ``side_1`` (the tokens) to ``side_4``: each order appends the next token to the one below.
+def _breaks(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Before which bytes (and, at the end, after the last one) a token ends inside a text; ``first``, ``last`` mark the bytes at texts' ends.
 
-    Linear in the text; cutting slices out of a long token array would copy it for every n-gram.
+    The tokenizer is stated as replacements from left to right, each of which uses up what it matched. What they
+    come to: symbols stand alone; so does a dash after a digit. In a run of points every one stands apart from the next.
+    Before the run there is a break unless a single point stands between digits; after it, before a digit, there is one
+    only where the pairs (any but a digit, point) that the left-to-right scan forms use up the run's last point.
     """
-    for n in range(2, ORDER + 1):
-        following = F.slice(f"{side}_1", F.lit(n), F.size(f"{side}_1"))
-        longer = F.zip_with(F.col(f"{side}_{n - 1}"), following, lambda gram, token: F.concat(gram, F.lit(" "), token))
-        df = df.withColumn(f"{side}_{n}", F.array_compact(longer))
-    return df
-
-
-def _numbered(grams: Column) -> Column:
-    """The n-grams of a sorted array, equal ones told apart by a running number: linear in the array."""
-    n = F.size(grams)
-    starts = F.filter(
-        F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(grams, i) != F.get(grams, F.greatest(i - 1, F.lit(0))))
-    )
-    ends = F.concat(F.slice(starts, 2, F.size(starts)), F.array(n))
-    runs = F.zip_with(starts, ends, lambda a, b: F.struct(F.get(grams, a).alias("gram"), (b - a).alias("times")))
-    copies = F.transform(
-        runs, lambda r: F.transform(F.sequence(F.lit(1), r["times"]), lambda k: F.concat_ws(" ", r["gram"], k.cast("string")))
-    )
-    return F.when(n > 0, F.flatten(copies)).otherwise(F.array())
+    n = len(data)
+    digit = (data >= 48) & (data <= 57)
+    other_before, other_after = np.ones(n, dtype=bool), np.ones(n, dtype=bool)
+    other_before[1:] = ~digit[:-1] | first[1:]
+    other_after[:-1] = ~digit[1:] | last[:-1]
+    alone = _listed(SYMBOLS)[data] | ((data == 45) & ~other_before)
+    out = np.zeros(n + 1, dtype=bool)
+    out[:-1] |= alone
+    out[1:] |= alone
+    point = _listed(POINTS)[data]
+    goes_on = np.zeros(n, dtype=bool)
+    goes_on[1:] = point[1:] & point[:-1] & ~first[1:]
+    out[:-1] |= goes_on
+    head = np.flatnonzero(point & ~goes_on)
+    stop = np.append(goes_on[1:], False)
+    tail = np.flatnonzero(point & ~stop)
+    length = tail - head + 1
+    out[head] |= other_before[head] | other_after[tail] | (length > 1)
+    out[tail + 1] |= other_after[tail] | ((length + other_before[head]) % 2 == 0)
+    return out
+
+
+def tokenized(texts: pa.Array, blanks: str) -> tuple[pa.Array, np.ndarray]:
+    """Tokens of all texts in order, and the text each belongs to; null is empty. ``blanks`` is the inside of a character class."""
+    for old, new in PLAIN:
+        texts = pc.replace_substring(texts, old, new)
+    texts = pc.fill_null(pc.replace_substring_regex(texts, f"[{blanks}]", " "), "").cast(pa.large_binary())
+    _, offsets, raw = texts.buffers()
+    at = np.frombuffer(offsets, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(raw, dtype=np.uint8)[at[0] : at[-1]] if raw is not None and raw.size else np.zeros(0, np.uint8)
+    at = at - at[0]
+    first, last = np.zeros(len(data), dtype=bool), np.zeros(len(data), dtype=bool)
+    filled = at[:-1] < at[1:]
+    first[at[:-1][filled]] = True
+    last[at[1:][filled] - 1] = True
+    inside = data != 32
+    breaks = _breaks(data, first, last)
+    start = inside & (first | breaks[:-1])
+    start[1:] |= inside[1:] & ~inside[:-1]
+    starts = np.flatnonzero(start)
+    # the bytes of the tokens, next to each other
+    begin = (np.cumsum(inside) - inside)[starts]
+    ends = np.append(begin, inside.sum()).astype(np.int64)
+    tokens = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(data[inside].tobytes())])
+    return tokens, np.searchsorted(at[1:], starts, side="right")
+
+
+def block_sums(hyp: pa.Array, ref: pa.Array, blanks: str) -> np.ndarray:
+    """``SUMS`` over the sentences of two equally long arrays."""
+    n = len(hyp)
+    tokens, text = tokenized(pa.concat_arrays([hyp, ref]), blanks)
+    encoded = tokens.dictionary_encode()
+    word = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    is_ref = text >= n
+    matched, total = [0] * ORDER, [0] * ORDER
+    alive = np.arange(len(word))  # where an n-gram starts whose (n-1)-gram is on both sides
+    gram = np.where(is_ref, text - n, text)  # of each place so far: what tells its (n-1)-gram and sentence apart
+    for k in range(ORDER):
+        whole = text[: max(0, len(text) - k)] == text[k:]
+        total[k] = int((whole & ~is_ref[: len(whole)]).sum())
+        alive = alive[alive < len(whole)]
+        alive = alive[whole[alive]]
+        _, rank = np.unique(gram[alive] * len(encoded.dictionary) + word[alive + k], return_inverse=True)
+        sides = [np.bincount(rank[is_ref[alive] == side], minlength=len(alive)) for side in (False, True)]
+        common = np.minimum(*sides)
+        matched[k] = int(common.sum())
+        gram[alive] = rank
+        alive = alive[common[rank] > 0]
+    return np.array([*matched, *total, int(is_ref.sum())], dtype=np.int64)
+
+
+def _summed(blanks: str, limit: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(len(SUMS), dtype=np.int64)
+        for batch in batches:
+            hyp, ref = batch.column(0), batch.column(1)
+            sizes = sum(pc.fill_null(pc.binary_length(side), 0).to_numpy(zero_copy_only=False).astype(np.int64) for side in (hyp, ref))
+            upto = np.cumsum(sizes)
+            at = 0
+            while at < len(hyp):
+                before = int(upto[at - 1]) if at else 0
+                to = max(at + 1, int(np.searchsorted(upto, before + limit, side="right")))
+                sums += block_sums(hyp.slice(at, to - at), ref.slice(at, to - at), blanks)
+                at = to
+        yield pa.RecordBatch.from_arrays([pa.array([int(x)], pa.int64()) for x in sums], names=SUMS)
+
+    return run
 
 
 def ngram_counts(scored: DataFrame) -> DataFrame:
-    """One row of ``matched_n``, ``total_n`` and ``ref_total_1`` summed over all sentences, from ``hyp, ref`` rows.
-
-    The clipped matches of a sentence are found inside its row; only four sums leave a partition.
-    """
-    tokenized = scored.select(tokenize_13a(F.col("hyp")).alias("h_1"), tokenize_13a(F.col("ref")).alias("r_1"))
-    grams = _with_ngrams(_with_ngrams(tokenized, "h"), "r")
-    sides = [f"{side}_{n}" for side in "hr" for n in range(1, ORDER + 1)]
-    grams = grams.select(*[F.array_sort(side).alias(side) for side in sides])
-    sums = []
-    for n in range(1, ORDER + 1):
-        hyp, ref = F.col(f"h_{n}"), F.col(f"r_{n}")
-        # if the n-grams of either side are all different, the matches are simply the common ones
-        plain = (F.size(F.array_distinct(hyp)) == F.size(hyp)) | (F.size(F.array_distinct(ref)) == F.size(ref))
-        common = F.when(plain, F.array_intersect(hyp, ref)).otherwise(F.array_intersect(_numbered(hyp), _numbered(ref)))
-        sums += [F.sum(F.size(common)).alias(f"matched_{n}"), F.sum(F.size(hyp)).alias(f"total_{n}")]
-    return grams.agg(*sums, F.sum(F.size("r_1")).alias("ref_total_1"))
+    """One row of ``matched_n``, ``total_n`` and ``ref_total_1`` summed over all sentences, from ``hyp, ref`` rows; a null side is empty."""
+    parts = scored.select("hyp", "ref").mapInArrow(_summed(chars.blank(), BLOCK_BYTES), ", ".join(f"{name} bigint" for name in SUMS))
+    return parts.agg(*[F.sum(name).alias(name) for name in SUMS])
 
 
 def corpus_bleu(scored: DataFrame) -> DataFrame:
