@@ -24,6 +24,8 @@ RUN = 1024
 SHARE = 8192
 BUSY = 2000
 KEY_BYTES = 16
+# Of the compression of packed strings on their way.
+LEVEL = 5
 BLOBS = "bucket bigint, heads binary, meta binary, refs binary, keys binary, strings binary, sizes array<int>"
 
 
@@ -183,7 +185,7 @@ class Held:
         """A row for each bucket that something goes to."""
         if not self.heads:
             return
-        codec = pa.Codec("zstd")
+        codec = pa.Codec("zstd", compression_level=LEVEL)
         heads = np.array(self.heads, dtype=np.uint64)
         bucket = heads % np.uint64(buckets)
         order = np.argsort(bucket, kind="stable")
@@ -405,7 +407,9 @@ def remove_repeats(docs: DataFrame, width: int = 35) -> DataFrame:
     # texts too short for a window get different keys, so that many empty ones do not meet in one task
     short = F.coalesce(F.octet_length("text"), F.lit(0)) < 2 * width - 1
     key = F.when(short, text_key(F.concat(F.lit("short:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))).otherwise(text_key(F.col("text")))
-    joined = rows.withColumn("key", key).join(repeated_spans(rows, width), "key", "left").select("doc_id", "text", "spans")
+    # written apart from the join: an exchange of its own lets Spark split a digest that many copies share
+    spans = materialize(repeated_spans(rows, width), "repeated-spans")
+    joined = rows.withColumn("key", key).join(spans, "key", "left").select("doc_id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
