@@ -128,6 +128,27 @@ def test_glossaries_stay_whole(spark):
     assert subword.segment_word("ab19ab", model) == ["ab@@", "19@@", "ab"]
 
 
+def test_grouped_glossaries_over_blocks_and_nulls(spark, setup, monkeypatch):
+    codes, lines, _ = setup
+    pattern = "(a|é)b{1,2}"
+    monkeypatch.setattr(subword, "BLOCK_BYTES", 20)
+    model = subword.load_model(_merges(spark, codes), (0, 2), glossaries=(pattern, "漢漢"))
+    df = spark.createDataFrame([(line,) for line in [*lines, None, "<x>", "\ud7ff 😀b"]], "text string").repartition(3)
+
+    def naive(word):
+        spans, at = [], 0
+        for m in re.finditer(f"(?:{pattern})|(?:漢漢)", word):
+            spans += [(word[at : m.start()], False), (m.group(), True)]
+            at = m.end()
+        spans.append((word[at:], False))
+        pieces = [p for text, whole in spans if text for p in ([text] if whole else naive_word(text, codes, (0, 2)))]
+        return [p + SEP for p in pieces[:-1]] + pieces[-1:]
+
+    for row in subword.bpe_encode(df, model).collect():
+        words = (row["text"] or "").strip("\r\n ").split(" ")
+        assert row["pieces"] == [p for word in words if word for p in naive(word)], row["text"]
+
+
 def test_unknown_version_and_bad_lines(spark):
     with pytest.raises(NotImplementedError):
         subword.load_model(_merges(spark, [("a", "b")]), version=(0, 3))
