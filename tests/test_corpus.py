@@ -75,6 +75,21 @@ def test_shuffle_positions(spark, corpus):
     assert {(r["source"], str(r["line_no"])): r["position"] for r in got} == expected
 
 
+@pytest.mark.parametrize("sigmas", [0, 6])
+def test_nth_smallest_key(spark, monkeypatch, sigmas):
+    monkeypatch.setattr(selection, "SIGMAS", sigmas)
+    monkeypatch.setattr(selection, "SLACK", 0.1 if not sigmas else 8)  # too narrow at first: the search widens
+    keys = sorted(hashlib.md5(str(i).encode()).hexdigest() for i in range(700))
+    df = spark.createDataFrame([(k,) for k in keys], "key string").repartition(3)
+    for n in (1, 2, 350, 699, 700):
+        assert selection.nth_smallest_key(df, "key", n) == keys[n - 1]
+    assert selection.nth_smallest_key(df, "key", 900) == keys[-1]
+    assert selection.nth_smallest_key(df, "key", 0) is selection.nth_smallest_key(df.limit(0), "key", 3) is None
+    uneven = df.filter("key < '01'").unionByName(df.filter("key > 'fe'"))  # a search among keys that are not spread evenly
+    left = [k for k in keys if k < "01" or k > "fe"]
+    assert [selection.nth_smallest_key(uneven, "key", n + 1) for n in range(len(left))] == left
+
+
 @pytest.mark.parametrize("n", [0, 5, 100, 10_000])
 def test_sample_size_is_exact_over_copies(spark, corpus, n):
     df = spark.createDataFrame(corpus, PAIR)
@@ -116,6 +131,19 @@ def test_mix_agrees_with_simulation(spark, sizes, weights, stop):
     assert [r["position"] for r in got] == list(range(1, len(got) + 1))
 
 
+def test_mix_of_many_corpora(spark, monkeypatch):
+    rng = random.Random(2)
+    sizes = {f"c{n:02}": rng.choice([0, 1, 2, 5, 30, 31, 90]) for n in range(23)}
+    weights = {name: rng.randint(1, 6) for name in sizes} | {"absent": 3}
+    rows = [(n, o, i, size) for o, (n, size) in enumerate(sizes.items()) for i in range(1, size + 1)]
+    df = spark.createDataFrame(rows, "source string, source_ord int, line_no bigint, n_lines bigint").repartition(3)
+    monkeypatch.setattr(mix, "SMALL_TABLE", 0)
+    got = mix.weighted_mix(df, weights).orderBy("position").collect()
+    assert [(r["source"], r["line_no"]) for r in got] == simulate_mix(sizes, weights, "all_exhausted")
+    assert [r["position"] for r in got] == list(range(1, len(got) + 1))
+    assert mix.weighted_mix(df.limit(0), weights).collect() == []
+
+
 def test_mix_rejects_bad_settings(spark):
     df = spark.createDataFrame([("a", 0, 1, 1)], "source string, source_ord int, line_no bigint, n_lines bigint")
     for weights, stop in (({}, "all_exhausted"), ({"a": 0}, "all_exhausted"), ({"a": 1}, "never")):
@@ -132,8 +160,9 @@ def test_numbering_over_blocks(spark, parts):
     for corpus, key in sorted(units, key=lambda u: u[1]):
         seen[corpus] += 1
         expected[corpus, key] = seen[corpus]
-    got = numbering.number_by_id(df, "corpus", "key", block_bits=5).collect()
-    assert {(r["corpus"], r["key"]): r["line_no"] for r in got} == expected
+    got = numbering.unit_offsets(df, "corpus", "key", F.shiftright("key", 5), F.lit(1)).collect()
+    assert {(r["corpus"], r["key"]): r["lines_before"] + 1 for r in got} == expected
+    assert {r["unit_lines"] for r in got} == {1}
     assert {r["corpus"]: r["n_lines"] for r in got} == dict(seen)
 
 

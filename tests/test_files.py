@@ -115,17 +115,25 @@ def test_hypotheses_in_order(spark, tmp_path):
 
 def test_discovery_uses_file_names_only(spark, tmp_path):
     root = tmp_path / "my-source-target"
-    for name in ("one/source.txt", "one/Target.TXT", "one/readme", "two/x.en", "two/x.IT"):
+    for name in ("one/source.txt", "one/Target.TXT", "one/readme", "two/x.en", "two/x.IT", "two/old/x.en", "two/old/source"):
         _file(root / name, "x\n")
+    root, folders = root, f"{root}/*"
     got = {
-        r["folder"].rsplit("/", 1)[1]: r for r in catalogue.discover_corpora(spark, str(root), "en", "it").collect()
+        r["folder"].rsplit("/", 1)[1]: r for r in catalogue.discover_corpora(spark, folders, "en", "it").collect()
     }
+    assert set(got) == {"one", "two"}
+    [alone] = catalogue.discover_corpora(spark, f"{root}/two", "en", "it").collect()
+    assert alone == got["two"]
     assert got["one"]["src_path"].endswith("one/source.txt") and got["one"]["tgt_path"].endswith("one/Target.TXT")
     assert not got["one"]["src_by_lang"] and got["two"]["src_by_lang"] and got["two"]["tgt_by_lang"]
+    _file(root / "with blank+%20" / "source", "")
+    _file(root / "with blank+%20" / "target", "x\n")
+    [odd] = catalogue.discover_corpora(spark, f"{root}/with blank*", "en", "it").collect()
+    assert odd["folder"].endswith("/with blank+%20") and text.count_lines(spark, odd["src_path"]).count() == 1
     _file(root / "two" / "y.en", "x\n")
     with pytest.raises(Exception, match="exactly one"):
-        catalogue.discover_corpora(spark, str(root), "en", "it").collect()
-    loose = catalogue.discover_corpora(spark, str(root), "en", "it", strict=False).filter("src_path IS NULL")
+        catalogue.discover_corpora(spark, folders, "en", "it").collect()
+    loose = catalogue.discover_corpora(spark, folders, "en", "it", strict=False).filter("src_path IS NULL")
     assert loose.count() == 1
 
 

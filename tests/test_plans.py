@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from workload.queries import QUERIES
-from twinline.operators import bleu, merge, selection
+from twinline.operators import bleu, merge, mix, selection
 from twinline.operators import chain as chains
 from twinline.operators.registry import chain
 from twinline.sources import tables
@@ -100,19 +100,27 @@ def test_numbering_never_gathers_a_corpus(spark):
     assert "ReusedExchange" in final and final.count("FileScan") == 2
 
 
-def test_selection_gathers_prefix_counts_only(spark, pairs):
+def test_cuts_drop_documents_where_they_are_read(spark):
+    cuts = chain(filters=[{"excerpt": {"top_percentile": 20, "bottom_percentile": 30}}]).cuts
+    df = views.numbered_pairs(spark, SF, cuts)
+    # below the exchange of the texts there is nothing but the filter by the bounds of each corpus
+    assert re.search(r"Exchange hashpartitioning\(source#\d+, doc_id#\d+L, \d+\).*\n\W*Filter .*doc_id#\d+L >= .*Subquery", plan(df))
+    whole = chains.cut_lines(views.numbered_pairs(spark, SF), cuts)
+    assert 0 < df.count() == whole.count() and df.exceptAll(whole).isEmpty()
+
+
+def test_the_split_is_one_narrow_pass(spark, pairs):
     distinct = pairs.select("src", "tgt").distinct()
-    text = plan(selection.train_val_split(distinct, 5))
-    # Everything brought together is a count per prefix or the one prefix the threshold lies in.
-    gathered = re.findall(r"Exchange SinglePartition.*\n\W*(.*)", text)
-    assert gathered
-    for below in gathered:
-        counts = re.match(r"HashAggregate\(keys=\[_groupingexpression#\d+\], .*output=\[prefix#\d+, in_prefix#", below)
-        one_row = re.match(r"HashAggregate\(keys=\[\], functions=\[partial_", below)
-        # The filter to one prefix was pushed below the removal of duplicates.
-        one_prefix = below.startswith("HashAggregate(keys=[src#") and re.search(r"Filter .*substring\(md5.*[Ss]ubquery", text)
-        assert counts or one_row or one_prefix, below
-    assert "TakeOrdered" not in text and "GlobalLimit" not in text
+    for df in (selection.train_val_split(distinct, 5), selection.take_sample(distinct, 5, selection.pair_key(1))):
+        assert exchanges(df) == exchanges(distinct) and plan(df).count("FileScan") == 1
+
+
+def test_the_mix_reads_its_pairs_once(spark):
+    numbered = views.numbered_pairs(spark, SF)
+    sizes = tables.pair_offsets(views.documents(spark, SF)).withColumn("source_ord", tables.corpus_number(F.col("source")))
+    df = mix.weighted_mix(numbered, {f"src{n}": 1 + n for n in range(20)}, sizes=sizes)
+    assert plan(df).count("FileScan") == plan(numbered).count("FileScan")
+    assert [e for e in exchanges(df) if e != "HashedRelationBroadcastMode"] == exchanges(numbered)  # one row per corpus is sent along
 
 
 def test_bleu_moves_no_text(spark):

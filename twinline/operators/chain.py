@@ -37,24 +37,27 @@ def drop_empty(df: DataFrame) -> DataFrame:
     return df.filter((F.length("src") > 0) & (F.length("tgt") > 0))
 
 
-def cut_lines(df: DataFrame, cuts: Sequence[Op], line_no: str = "line_no", n_lines: str = "n_lines") -> DataFrame:
-    """Positional cuts, by line number and number of lines of the corpus. The last cut sets the end."""
-    begin: Column | None = None
-    stop: Column | None = None
+def cut_range(cuts: Sequence[Op], n_lines: Column) -> tuple[Column, Column]:
+    """First and last line number that positional cuts keep of a corpus of ``n_lines``. The last cut sets the end."""
+    begin, end = F.lit(1).cast("long"), n_lines.cast("long")
 
     def position(percent: float) -> Column:
-        return (F.lit(percent / 100) * F.col(n_lines).cast("double")).cast("long")
+        return (F.lit(percent / 100) * n_lines.cast("double")).cast("long")
 
     for cut in cuts:
         if cut.name == "excerpt":
-            begin, stop = position(cut.args["top_percentile"]), position(cut.args["bottom_percentile"])
+            begin, end = position(cut.args["top_percentile"]), position(cut.args["bottom_percentile"]) + 1
         else:
-            stop = position(cut.args["percent"])
-    if stop is not None:
-        df = df.filter(F.col(line_no) <= stop + 1)
-    if begin is not None:
-        df = df.filter(F.col(line_no) >= begin)
-    return df
+            end = position(cut.args["percent"]) + 1
+    return begin, end
+
+
+def cut_lines(df: DataFrame, cuts: Sequence[Op], line_no: str = "line_no", n_lines: str = "n_lines") -> DataFrame:
+    """Positional cuts, by line number and number of lines of the corpus."""
+    if not cuts:
+        return df
+    begin, end = cut_range(cuts, F.col(n_lines))
+    return df.filter((F.col(line_no) >= begin) & (F.col(line_no) <= end))
 
 
 def rejections(filters: Sequence[Op]) -> list[tuple[str, Column]]:

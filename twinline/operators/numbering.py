@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def unit_offsets(units: DataFrame, corpus: str, unit: str, block: Column, lines: Column) -> DataFrame:
-    """``corpus, unit, lines_before, n_lines`` for every unit.
+    """``corpus, unit, lines_before, unit_lines, n_lines`` for every unit.
 
     ``block`` must not decrease as ``unit`` grows, and should hold a bounded number of units.
     ``n_lines`` is the number of lines of the corpus.
@@ -36,11 +36,5 @@ def unit_offsets(units: DataFrame, corpus: str, unit: str, block: Column, lines:
         F.sum("_in_block").over(whole).alias("n_lines"),
     )
     before = F.col("_before_block") + F.col("_up_to") - F.col("_lines")
-    return placed.join(blocks, [corpus, "_block"]).select(corpus, unit, before.alias("lines_before"), "n_lines")
-
-
-def number_by_id(df: DataFrame, corpus: str, key: str, block_bits: int = 14) -> DataFrame:
-    """1-based ``line_no`` of each row in its corpus, in the order of a unique integer ``key``."""
-    block = F.shiftright(F.col(key), block_bits)
-    offsets = unit_offsets(df, corpus, key, block, F.lit(1))
-    return df.join(offsets, [corpus, key]).withColumn("line_no", F.col("lines_before") + 1).drop("lines_before")
+    own = F.col("_lines").alias("unit_lines")
+    return placed.join(blocks, [corpus, "_block"]).select(corpus, unit, before.alias("lines_before"), own, "n_lines")

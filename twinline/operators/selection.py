@@ -1,18 +1,23 @@
 """Deterministic shuffling, sampling and splitting by a hash key.
 
 "Random" means the order of an md5 key, which needs no generator state, gives the same answer on any
-number of partitions and survives recomputation. Keys are spread evenly, so counting them by prefix
-gives an exact n-th smallest key, and exact ranks, with nothing bigger than one prefix in one task.
+number of partitions and survives recomputation. Keys are spread evenly, so the n-th smallest lies close to where
+their number says, and counting keys by prefix gives exact ranks with nothing bigger than one prefix in one task.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Hex digits counted by: at most 16**5 (about a million) counts, each for a millionth of the rows.
 PREFIX_DIGITS = 5
+# Hex digits of a key that a share of all keys is turned into; standard deviations, and rows, looked at around the wanted key.
+KEY_DIGITS = 12
+SIGMAS = 6
+SLACK = 8
 
 
 def pair_key(seed: int | str, *extra: Column) -> Column:
@@ -31,42 +36,50 @@ def _counts_by_prefix(df: DataFrame, key: str) -> DataFrame:
     return counts.withColumn("before", F.coalesce(F.sum("in_prefix").over(earlier), F.lit(0)))
 
 
-def nth_smallest_key(df: DataFrame, key: str, n: Column | int) -> Column:
-    """The ``n``-th smallest of the unique keys as a scalar; null for 0, the last one beyond the end."""
-    keys = df.select(key)
-    counts = _counts_by_prefix(keys, key)
-    size = counts.agg(F.sum("in_prefix").alias("rows")).scalar()
-    wanted = F.least(F.lit(n) if isinstance(n, int) else n, size)
-    edge = counts.filter((F.col("before") < wanted) & (F.col("before") + F.col("in_prefix") >= wanted))
-    inside = keys.filter(_prefix(key) == edge.select("prefix").scalar())
-    ranked = inside.select(key, F.row_number().over(Window.orderBy(key)).alias("rank"))
-    return ranked.filter(F.col("rank") == wanted - edge.select("before").scalar()).select(key).scalar()
+def nth_smallest_key(df: DataFrame, key: str, n: Column | int) -> str | None:
+    """The ``n``-th smallest of the unique md5 keys; None for 0, the last one beyond the end.
+
+    Keys are spread evenly, so the number of rows tells between which two keys it lies but for a few standard deviations of
+    the number of rows below a key. One pass over the keys counts those below and keeps those between (some
+    thousands of a billion rows); should they not hold the wanted one, the next pass looks four times as wide.
+    """
+    total = F.least(F.lit(n) if isinstance(n, int) else n, F.count("*")).alias("wanted")
+    rows, wanted = df.agg(F.count("*").alias("rows"), total).first()
+    if not wanted or wanted < 1:
+        return None
+    share = wanted / rows
+    spread = SIGMAS * math.sqrt(rows * share * (1 - share)) + SLACK
+    while True:
+        low, high = (_hex(edge / rows) for edge in (wanted - spread, wanted + spread))
+        column = F.col(key)
+        between = F.when((column >= low) & (column < high), column)
+        below, kept = df.agg(F.count_if(column < low), F.sort_array(F.collect_list(between))).first()
+        if below < wanted <= below + len(kept):
+            return kept[wanted - below - 1]
+        spread *= 4
+
+
+def _hex(share: float) -> str:
+    """The key that this share of all keys lies below; beyond the ends one that none or all lie below."""
+    return "" if share <= 0 else "g" if share >= 1 else f"{int(share * 16**KEY_DIGITS):0{KEY_DIGITS}x}"
 
 
 def train_val_split(pairs: DataFrame, n: Column | int, seed: int | str = 0) -> DataFrame:
     """Add ``split``: exactly ``n`` pairs are ``val``, the rest ``train``. Pairs must be distinct.
 
-    Reads ``pairs`` three times; hand it a materialized table when it is costly.
+    ``n`` is a number or an aggregate of ``pairs``. The threshold is found at once, in a count and one pass over the keys; the
+    result is a narrow pass. Hand it a materialized table when ``pairs`` is costly.
     """
     keyed = pairs.withColumn("key", pair_key(seed))
     threshold = nth_smallest_key(keyed, "key", n)
-    split = F.when(F.col("key") <= threshold, "val").otherwise("train")
+    split = F.when(F.col("key") <= F.lit(threshold), "val").otherwise("train")
     return keyed.withColumn("split", split).drop("key")
 
 
 def take_sample(df: DataFrame, n: int, key: Column) -> DataFrame:
-    """Exactly ``n`` rows (all, if fewer) with the smallest unique keys.
-
-    Two passes: count by prefix, then keep every row below the prefix the ``n``-th key lies in and rank
-    the rows of that prefix. Only the rows up to there are shuffled.
-    """
-    keyed = df.withColumn("_key", key).withColumn("prefix", _prefix("_key"))
-    edge = _counts_by_prefix(keyed, "_key").filter(F.col("before") < n).agg(F.max(F.struct("prefix", "before")))
-    edge = edge.scalar()
-    candidates = keyed.filter(F.col("prefix") <= edge["prefix"])
-    rank = F.row_number().over(Window.partitionBy("prefix").orderBy("_key"))
-    wanted = (F.col("prefix") < edge["prefix"]) | (F.col("_rank") <= n - edge["before"])
-    return candidates.withColumn("_rank", rank).filter(wanted).drop("_key", "_rank", "prefix")
+    """Exactly ``n`` rows (all, if fewer) with the smallest unique keys, found as in ``train_val_split``: nothing is shuffled."""
+    keyed = df.withColumn("_key", key)
+    return keyed.filter(F.col("_key") <= F.lit(nth_smallest_key(keyed, "_key", n))).drop("_key")
 
 
 def shuffle_corpus(pairs: DataFrame, seed: int | str = 0, unique: Sequence[str] = ()) -> DataFrame:

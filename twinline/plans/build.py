@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
@@ -14,7 +15,7 @@ from twinline.operators.chain import rejection_report
 from twinline.operators.mix import weighted_mix
 from twinline.plans.config import CATALOGUE_PREFIX, FOLDER_PREFIX, Plan, manifest
 from twinline.sources import catalogue as catalogues
-from twinline.sources import text
+from twinline.sources import scratch, text
 from twinline.sources.scratch import materialize
 
 # Name and weight of the merged training pairs in the mix, and lines that are numbered together.
@@ -94,15 +95,15 @@ def build_corpus(
     stats = merge.merge_stats(added, max_eval)
     if added.isEmpty():
         raise ValueError("no sources merged")
-    size = stats.select("validation_size").limit(1).scalar()
+    size = stats.select("validation_size").first()[0]
     if remove_duplicates:
         pairs = merge.dedup_pairs(added)
-        threshold = selection.nth_smallest_key(added.select("key").distinct(), "key", size)
+        threshold = selection.nth_smallest_key(materialize(added.select("key").distinct(), "keys"), "key", size)
     else:
         unique = [F.col(c).cast("string") for c in merge.POSITION]
         pairs = added.withColumn("key", selection.pair_key(seed, "source", *unique))
         threshold = selection.nth_smallest_key(pairs, "key", size)
-    split = F.when(F.col("key") <= threshold, "val").otherwise("train")
+    split = F.when(F.col("key") <= F.lit(threshold), "val").otherwise("train")
     return Built(pairs.withColumn("split", split), stats, as_they_are)
 
 
@@ -155,23 +156,22 @@ def rejections(plan: Plan, corpora: Mapping[str, DataFrame]) -> DataFrame | None
 
 
 def export(built: Built, path: str) -> None:
-    """Aligned text files of both splits in shuffled (key) order, in place of those of an earlier build.
-
-    An evaluation set keeps the order of its lines.
-    """
+    """Aligned text files of both splits in shuffled (key) order. An evaluation set keeps the order of its lines."""
     order = ["key", *merge.POSITION] if "key" in built.pairs.columns else ["line_no"]
-    text.write_parallel(built.pairs, path, order, split=F.col("split"), mode="overwrite")
+    text.write_parallel(built.pairs, path, order, split=F.col("split"))
 
 
 def export_rest(built: Built, plan: Plan, corpora: Mapping[str, DataFrame], path: str, seed: int | str = 0) -> None:
-    """Beside the splits: the mix (``file=src-mix``, ``file=tgt-mix``), the sentence sample and, as JSON, the rejections."""
+    """Beside the splits: the mix (``file=src-mix``, ``file=tgt-mix``), the sentence sample and, as JSON, added lines with
+    split sizes and the rejections."""
     mix = mixed(built, plan, seed)
     if mix is not None:
         text.write_parallel(mix, path, ["position"], split="mix", mode="append")
-    sentence_sample(built, plan, seed).select("text").write.mode("overwrite").text(f"{path}/file=sample")
+    sentence_sample(built, plan, seed).select("text").write.text(f"{path}/file=sample")
+    built.stats.write.json(f"{path}/file=stats")
     report = rejections(plan, corpora)
     if report is not None:
-        report.write.mode("overwrite").json(f"{path}/file=rejections")
+        report.write.json(f"{path}/file=rejections")
 
 
 def run(
@@ -179,7 +179,8 @@ def run(
 ) -> bool:
     """Build and export unless the corpora are those of the last successful run; tells whether it ran.
 
-    The fingerprint is stored after the export, so a failed run is not mistaken for a finished one.
+    Everything is written beside ``out`` and takes its place when it is complete: a run that fails leaves the files of the
+    one before. The fingerprint is stored after that, so a failed run is not mistaken for a finished one.
     """
     names = manifest(spark, plan).select(F.col("name").alias("source"))
     current = merge.source_fingerprint(names)
@@ -187,8 +188,10 @@ def run(
     if not verdict["changed"]:
         return False
     built = build_corpus(spark, plan, corpora, **options)
-    export(built, out)
-    export_rest(built, plan, corpora, out, options.get("seed", 0))
+    staging = f"{out.rstrip('/')}.{uuid.uuid4().hex}"
+    export(built, staging)
+    export_rest(built, plan, corpora, staging, options.get("seed", 0))
+    scratch.put_in_place(spark, staging, out)
     current.write.mode("overwrite").parquet(state)
     return True
 

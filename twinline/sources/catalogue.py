@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from twinline.sources import text
+
 
 def discover_corpora(spark: SparkSession, root: str, src_lang: str, tgt_lang: str, strict: bool = True) -> DataFrame:
-    """``folder, src_path, tgt_path, src_by_lang, tgt_by_lang`` for every folder below ``root``.
+    """``folder, src_path, tgt_path, src_by_lang, tgt_by_lang`` for every folder that ``root`` names and that holds files.
 
+    ``root`` is a folder or a pattern such as ``corpora/*``. Files right in a folder count, folders inside it do not.
     A file is the target if its name contains "target" or ends in ``.<tgt_lang>``, the source likewise.
     A missing or doubled side is an error when ``strict``, else the folder's paths are null. The
-    ``by_lang`` flags tell sides found by their ending. Only file names are read.
+    ``by_lang`` flags tell sides found by their ending. Only file names are read, so empty files count too.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
+    # the planner's own list of files, as a scan leaves empty ones out; it has encoded names
+    listed = [(unquote(file),) for file in spark.read.format("binaryFile").load(root).inputFiles()]
+    files = spark.createDataFrame(listed, "path string").select(text.same_root(F.col("path")).alias("path"))
     name = F.lower(F.element_at(F.split("path", "/"), -1))
     folder = F.regexp_replace("path", "/[^/]*$", F.lit(""))
 

@@ -52,16 +52,16 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return numbered.select((F.col("id") + F.col("shift")).alias("line_no"), "line", "n_lines")
 
 
-def _same_root(file: Column) -> Column:
+def same_root(file: Column) -> Column:
     return F.regexp_replace(file, "^file:/+", "file:///")
 
 
 def count_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """``file, lines`` for every file, also for empty ones; an unfinished last line counts."""
     scan = _scan(spark, path)
-    counted = scan.groupBy(_same_root(F.col("_metadata.file_path")).alias("file")).agg(F.count("*").alias("lines"))
+    counted = scan.groupBy(same_root(F.col("_metadata.file_path")).alias("file")).agg(F.count("*").alias("lines"))
     # the planner's own list of files: a scan leaves empty ones out
-    listed = spark.createDataFrame([(f,) for f in scan.inputFiles()], "file string").select(_same_root(F.col("file")).alias("file"))
+    listed = spark.createDataFrame([(f,) for f in scan.inputFiles()], "file string").select(same_root(F.col("file")).alias("file"))
     return listed.join(counted, "file", "left").select("file", F.coalesce("lines", F.lit(0)).alias("lines"))
 
 

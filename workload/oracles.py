@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from twinline.sources import languages
+
 WS = (
     "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31) "
     "|| chr(133) || chr(160) || chr(5760) || chr(8192) || chr(8193) || chr(8194) || chr(8195) || chr(8196) "
@@ -192,6 +194,21 @@ split AS (
 )
 """
 
+CONVERSATIONS = """
+turns AS (
+  SELECT 'conv' AS source, a.conv_id AS doc_id, a.turn AS pair_no, a.text AS src, b.text AS tgt
+  FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1
+  WHERE a.role = 'user' AND b.role = 'assistant'
+)
+"""
+CODE_LINES = """
+code_lines AS (
+  SELECT row_number() OVER (ORDER BY doc_id, pair_no) AS line_no, coalesce(nullif(string_split(src, ' ')[1], ''), '_') AS l,
+         coalesce(nullif(string_split(tgt, ' ')[1], ''), '_') AS r
+  FROM raw
+)
+"""
+
 MIX = """
 weights AS (SELECT DISTINCT source, source_ord, n_lines, 1 + source_ord % 5 AS w FROM numbered),
 turns AS (
@@ -289,11 +306,11 @@ occurrences AS (
 ),
 cut AS (
   SELECT word, unnest(parts) AS part, generate_subscripts(parts, 1) AS k
-  FROM (SELECT word, list_filter(string_split(regexp_replace(word, '(tion|[0-9]+)', chr(1) || '\\1' || chr(1), 'g'), chr(1)),
+  FROM (SELECT word, list_filter(string_split(regexp_replace(word, '(tion|[0-9]+|(?:qu|th)e)', chr(1) || '\\1' || chr(1), 'g'), chr(1)),
                                  lambda s: s <> '') AS parts
         FROM (SELECT DISTINCT word FROM occurrences WHERE word <> ''))
 ),
-vocabulary AS (SELECT DISTINCT part FROM cut WHERE NOT regexp_full_match(part, 'tion|[0-9]+'))
+vocabulary AS (SELECT DISTINCT part FROM cut WHERE NOT regexp_full_match(part, 'tion|[0-9]+|(?:qu|th)e'))
 """
 AROUND_TERMS = """
 segments AS (
@@ -393,14 +410,18 @@ ORACLES: dict[str, str] = {
         f"every AS (SELECT * FROM clean WHERE NOT (src = tgt OR {_ratio('0.2', '5')}))",
         "s0 AS (SELECT * FROM every WHERE source = 'src0' AND length(src) > 20 AND length(tgt) > 20)",
     ),
-    "language_map": """
-        SELECT lang, count(*) AS documents,
-               CASE lang WHEN 'en' THEN 'eng_Latn' WHEN 'de' THEN 'deu_Latn' WHEN 'fr' THEN 'fra_Latn' WHEN 'es' THEN 'spa_Latn' END AS flores_code,
-               CASE lang WHEN 'en' THEN 'eng' WHEN 'de' THEN 'deu' WHEN 'fr' THEN 'fra' WHEN 'es' THEN 'spa' END AS iso3,
-               'Latn' AS script
-        FROM documents GROUP BY lang""",
+    "language_map": f"""
+        WITH docs AS (SELECT lang, count(*) AS documents FROM documents GROUP BY lang),
+        listed(lang, code) AS (VALUES {", ".join(f"('{lang}', '{code}')" for lang, code in languages.codes().items())})
+        SELECT coalesce(l.lang, d.lang) AS lang, coalesce(documents, 0) AS documents, code AS flores_code,
+               string_split(code, '_')[1] AS iso3, string_split(code, '_')[2] AS script
+        FROM listed l FULL JOIN docs d ON l.lang = d.lang""",
     "with_line_number": _sql("SELECT source, line_no, src, tgt FROM numbered"),
-    "count_lines": _sql("SELECT source, count(*) AS lines FROM lines GROUP BY source"),
+    "count_lines": _sql("SELECT source, count(*) AS lines FROM lines GROUP BY source UNION ALL SELECT 'none', 0"),
+    "discover_corpora": """
+        SELECT source AS folder, CASE WHEN even THEN 'Source.txt' ELSE 'corpus.en' END AS src_path,
+               CASE WHEN even THEN 'target.txt' ELSE 'corpus.IT' END AS tgt_path, NOT even AS src_by_lang, NOT even AS tgt_by_lang
+        FROM (SELECT DISTINCT source, CAST(right(source, 1) AS INTEGER) % 2 = 0 AS even FROM documents)""",
     "read_eval_set": f"WITH {EVAL.strip()} SELECT split, lang, line_no, text FROM eval_sets",
     "eval_pairs": f"""WITH {EVAL.strip()}
         SELECT a.line_no, a.text AS src, b.text AS tgt FROM eval_sets a JOIN eval_sets b ON a.line_no = b.line_no
@@ -410,10 +431,10 @@ ORACLES: dict[str, str] = {
     ),
     "read_bpe_codes": _sql(
         "SELECT min(line_no) - 1 AS rank, l AS \"left\", r AS \"right\" FROM code_lines GROUP BY l, r",
-        """code_lines AS (
-            SELECT row_number() OVER (ORDER BY doc_id, pair_no) AS line_no,
-                   coalesce(nullif(string_split(src, ' ')[1], ''), '_') AS l,
-                   coalesce(nullif(string_split(tgt, ' ')[1], ''), '_') AS r FROM raw)""",
+        CODE_LINES,
+    ),
+    "read_bpe_codes_limited": _sql(
+        "SELECT min(line_no) - 1 AS rank, l AS \"left\", r AS \"right\" FROM code_lines WHERE line_no <= 100 GROUP BY l, r", CODE_LINES
     ),
     "read_bpe_vocab": _sql("SELECT word AS token, freq FROM counts WHERE freq >= 10", WORDS),
     "resolve_corpus": """
@@ -484,10 +505,8 @@ ORACLES: dict[str, str] = {
     "merge_corpora": _sql(
         f"""SELECT {ROW}, src, tgt FROM clean WHERE source <> 'src7' AND NOT ({FLAGSHIP_REMOVED})
             UNION ALL SELECT {ROW}, src, tgt FROM conv WHERE length(src) > 30 AND length(tgt) > 30""",
-        f"""conv AS (
-            SELECT 'conv' AS source, a.conv_id AS doc_id, a.turn AS pair_no, trim(a.text, {WS}) AS src, trim(b.text, {WS}) AS tgt
-            FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1
-            WHERE a.role = 'user' AND b.role = 'assistant')""",
+        CONVERSATIONS,
+        f"conv AS (SELECT source, doc_id, pair_no, trim(src, {WS}) AS src, trim(tgt, {WS}) AS tgt FROM turns)",
     ),
     "dedup_pairs": _sql(f"SELECT {ROW}, copies, src, tgt FROM distinct_pairs", DISTINCT_PAIRS),
     "merge_stats": _sql(
@@ -517,7 +536,11 @@ ORACLES: dict[str, str] = {
     "training_sample": _sql(
         """SELECT * FROM sentences QUALIFY row_number() OVER (ORDER BY
            md5(side || chr(9) || source || chr(9) || doc_id || chr(9) || pair_no || chr(9) || '3')) <= 1000""",
-        LINES,
+        SPLIT,
+        CONVERSATIONS,
+        f"""drawn AS (
+            SELECT {ROW}, src, tgt FROM split WHERE split = 'train' UNION ALL SELECT {ROW}, src, tgt FROM turns)""",
+        SENTENCES.format(t="drawn"),
     ),
     "max_tokens": _sql(
         f"""SELECT {ROW}, src, tgt FROM clean

@@ -66,8 +66,7 @@ def _cut(name: str, args: dict) -> Query:
     spec = chain(filters=[{name: args}])
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        kept = chains.cut_lines(views.numbered_pairs(spark, sf), spec.cuts)
-        return kept.select("source", "line_no", "src", "tgt")
+        return views.numbered_pairs(spark, sf, spec.cuts).select("source", "line_no", "src", "tgt")
 
     return run
 
@@ -104,13 +103,34 @@ def with_line_number(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def count_lines(spark: SparkSession, sf: str) -> DataFrame:
-    lines = tables.line_count(F.col("text")).cast("bigint")
-    return views.documents(spark, sf).groupBy("source").agg(F.sum(lines).alias("lines"))
+    """The documents written as text files, a folder for each corpus and an empty one, and their lines counted."""
+    path = scratch.fresh_path(spark, "corpora")
+    docs = views.documents(spark, sf)
+    docs.select("source", "text").write.partitionBy("source").option("lineSep", "\n").text(path)
+    docs.filter("false").select("text").write.text(f"{path}/source=none")
+    counted = text.count_lines(spark, f"{path}/*")
+    return counted.groupBy(F.regexp_extract("file", "/source=([^/]*)/[^/]*$", 1).alias("source")).agg(F.sum("lines").alias("lines"))
+
+
+def discover_corpora(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder for each corpus: half name their sides, half the languages; with a note, and older files in a folder below."""
+    path = scratch.fresh_path(spark, "folders")
+    names = [r.source for r in views.documents(spark, sf).select("source").distinct().collect()]
+    for name in names:
+        sides = ("Source.txt", "target.txt") if name.endswith(("0", "2", "4", "6", "8")) else ("corpus.en", "corpus.IT")
+        for file in (*sides, "note", "older/source.txt"):
+            scratch.touch(spark, f"{path}/{name}/{file}")
+    found = catalogue.discover_corpora(spark, f"{path}/*", "en", "it")
+    last = lambda c: F.substring_index(c, "/", -1).alias(c)
+    return found.select(last("folder"), last("src_path"), last("tgt_path"), "src_by_lang", "tgt_by_lang")
 
 
 def language_map(spark: SparkSession, sf: str) -> DataFrame:
+    """Every language that is listed, with its documents; and those of documents that are not."""
     docs = views.documents(spark, sf).groupBy("lang").agg(F.count("*").alias("documents"))
-    return languages.with_language(docs)
+    listed = languages.language_map(spark).select("lang")
+    every = listed.join(docs, "lang", "full").withColumn("documents", F.coalesce("documents", F.lit(0)))
+    return languages.with_language(every)
 
 
 def configured_corpora(spark: SparkSession, sf: str) -> DataFrame:
@@ -158,6 +178,11 @@ def read_bpe_codes(spark: SparkSession, sf: str) -> DataFrame:
     return models.read_bpe_codes(views.word_lines(spark, sf))
 
 
+def read_bpe_codes_limited(spark: SparkSession, sf: str) -> DataFrame:
+    """The merges of the first 100 lines: the limit that an encoder can set."""
+    return models.read_bpe_codes(views.word_lines(spark, sf), merges=100)
+
+
 def read_bpe_vocab(spark: SparkSession, sf: str) -> DataFrame:
     return models.read_bpe_vocab(views.count_lines(spark, sf), threshold=10)
 
@@ -258,8 +283,7 @@ def validation_size(spark: SparkSession, sf: str) -> DataFrame:
 def _split(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct pairs, written once, then split: sizes come from the copies each pair stands for."""
     pairs = scratch.materialize(_distinct(spark, sf).select(*KEY, "src", "tgt", "copies"), "distinct")
-    n = pairs.agg(merge.validation_size(F.sum("copies")).alias("n")).scalar()
-    return selection.train_val_split(pairs, n, seed=0)
+    return selection.train_val_split(pairs, merge.validation_size(F.sum("copies")), seed=0)
 
 
 def train_val_split(spark: SparkSession, sf: str) -> DataFrame:
@@ -298,7 +322,10 @@ def _mixed(stop: str) -> Query:
 
 
 def training_sample(spark: SparkSession, sf: str) -> DataFrame:
-    sample = selection.training_sample(views.clean_pairs(spark, sf), KEY, n=1000, seed=3)
+    """Of the training pairs and a weighted corpus, which is taken as it is."""
+    train = _split(spark, sf).filter("split = 'train'").select(*KEY, "src", "tgt")
+    weighted = views.conversation_pairs(spark, sf).select(*KEY, "src", "tgt")
+    sample = selection.training_sample(train.unionByName(weighted), KEY, n=1000, seed=3)
     return sample.select("source", "doc_id", F.col("pair_no").cast("bigint").alias("pair_no"), "side", "text")
 
 
@@ -346,7 +373,7 @@ def bpe_encode_vocab(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bpe_encode_glossaries(spark: SparkSession, sf: str) -> DataFrame:
-    model = _model(spark, sf, glossaries=("tion", "[0-9]+"))
+    model = _model(spark, sf, glossaries=("tion", "[0-9]+", "(qu|th)e"))
     encoded = subword.bpe_encode(_lines(spark, sf), model)
     return _line_rows(encoded, F.array_join("pieces", " ").alias("encoded"))
 
@@ -385,10 +412,12 @@ QUERIES: dict[str, Query] = {
     "language_map": language_map,
     "with_line_number": with_line_number,
     "count_lines": count_lines,
+    "discover_corpora": discover_corpora,
     "read_eval_set": read_eval_set,
     "eval_pairs": eval_pairs,
     "write_parallel": write_parallel,
     "read_bpe_codes": read_bpe_codes,
+    "read_bpe_codes_limited": read_bpe_codes_limited,
     "read_bpe_vocab": read_bpe_vocab,
     "resolve_corpus": resolve_corpus,
     "swap_sides": swap_sides,

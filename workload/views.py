@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from twinline.operators import numbering
 from twinline.operators.chain import drop_empty, strip_pair
+from twinline.operators.registry import Op
 from twinline.operators.selection import tokens
 from twinline.sources import models
 from twinline.sources.scratch import materialize
@@ -28,8 +30,8 @@ def clean_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return drop_empty(strip_pair(raw_pairs(spark, sf)))
 
 
-def numbered_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return numbered_document_pairs(documents(spark, sf))
+def numbered_pairs(spark: SparkSession, sf: str, cuts: Sequence[Op] = ()) -> DataFrame:
+    return numbered_document_pairs(documents(spark, sf), cuts)
 
 
 def marked_pairs(spark: SparkSession, sf: str) -> DataFrame:
