@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -401,6 +402,34 @@ def test_url_trees_learn_lexical_signs(spark):
     assert sum((r.verdict == "block") == (r.label == 1) for r in got) > 0.95 * len(got)
 
 
+def test_url_trees_are_bounded_and_keep_rows(spark, monkeypatch):
+    monkeypatch.setattr(url_trees, "TRAINING_ROWS", 300)
+    copies = spark.range(5000).select(F.lit("http://a.example.org/1").alias("url"), F.lit(1).alias("label"))
+    rng = random.Random(1)
+    others = spark.createDataFrame([(f"https://{sentence(rng, 1)}.org/{i}", i % 2) for i in range(400)], "url string, label int")
+    seen = []
+    fit = url_trees.GBTClassifier.fit
+    monkeypatch.setattr(url_trees.GBTClassifier, "fit", lambda self, df: (seen.append(df.count()), fit(self, df))[1])
+    pages = spark.createDataFrame([(1, "http://a.example.org/1", "x", 9.0), (1, "http://a.example.org/1", "x", 9.0), (2, None, "y", 8.0)], "page_id int, url string, host string, bad double")
+    judged = url_trees.judge(pages, (), copies.unionByName(others))
+    assert judged.columns == ["page_id", "url", "host", "path", "rule", "bad", "verdict"]
+    got = judged.collect()
+    assert seen == [300]
+    assert len(got) == 3 and got[0] == got[1] or got[1] == got[2] or got[0] == got[2]
+    assert url_trees.judge(pages.limit(0), (), others).collect() == []
+
+
+def test_suffix_shares_leave_the_own_fold_out(spark):
+    urls = [(f"https://h{i % 7}.site{i % 3}.org/{i}", i % 2) for i in range(200)]
+    rows = [(u, u.split("/")[2], "/" + u.split("/")[3], y, 1 + y) for u, y in urls]
+    df = url_trees.with_features(spark.createDataFrame(rows, "url string, host string, path string, label int, copies int"))
+    table, overall = url_trees.suffix_shares(df, "site")
+    folds = {r.url: (r.fold, r.site, r.label) for r in df.withColumn("fold", url_trees.fold()).collect()}
+    for r in table.collect():
+        part = [x for f, s, y in folds.values() if s == r.site and f != r.fold for x in [y] * (1 + y)]
+        assert r.site_share == pytest.approx((sum(part) + url_trees.PRIOR * overall) / (len(part) + url_trees.PRIOR))
+
+
 PAGE = """<!DOCTYPE html><html><body class="no-comments"><header><a href=x>Site</a></header><nav><ul><li><a href=a>Menu</a></ul></nav>
 <div id=cookie-notice>We use cookies</div><div class=wrap><div class="post"><h1>Title &amp; more</h1><p>First paragraph of some
  length, yes <a href=y>link</a> goes on.<p>Second<br>para <i>graph</i> of text that goes on for a while<ul><li>one item<li>two</ul>
@@ -439,6 +468,93 @@ def test_sections_named_like_marks_stay(name):
     assert text.count("as much a part") == 2 and "Paragraph 5" in text and "one link" not in text
 
 
+LONG = "<p>A reader says at some length what they think of it all, and then goes on to say it again.</p>" * 30
+
+
+@pytest.mark.parametrize(
+    "comments",
+    [
+        f'<div class="comments">{LONG}</div>',
+        f'<section id="comments">{LONG}</section>',
+        f'<div id="disqus_thread">{LONG}</div>',
+        f'<ol class="comment-list"><li class="comment"><article class="comment-body" id="c1">{LONG}</article></li></ol>',
+        f'<div class="box comments-area"><h3>30 comments</h3>{LONG}</div>',
+    ],
+)
+@pytest.mark.parametrize("body", [f"<article><h1>Title</h1>{BODY}%s</article>", f"<article><h1>Title</h1>{BODY}</article>%s", f"<div>{BODY}</div>%s"])
+def test_comments_go_whatever_their_length(comments, body):
+    text = text_density.main_text(f"<html><body>{body % comments}</body></html>")
+    assert "reader says" not in text and all(f"Paragraph {i} " in text for i in range(6))
+
+
+@pytest.mark.parametrize("name", ["share-price", "search-results", "alertSystem", "menu_engineering", "related-work"])
+def test_vague_words_do_not_drop_dense_text(name):
+    part = f'<div class="{name}"><p>Shares rose today, and this is told in as many words as the other parts of the page.</p></div>'
+    assert "Shares rose today" in text_density.main_text(f"<html><body><div>{BODY}{part}</div></body></html>")
+    thin = f'<div class="{name}"><span>On</span> <a href=x>Mail</a> <a href=y>Chat</a></div>'
+    assert "Mail" not in text_density.main_text(f"<html><body><div>{BODY}{thin}</div></body></html>")
+    assert text_density.main_text('<div class="share-price"><p>Shares rose today.</p></div>') == "Shares rose today."
+
+
+@pytest.mark.parametrize("name", ["cookie-banner", "newsletter-signup", "ad-slot", "promo-box"])
+def test_plain_marks_drop_what_they_name(name):
+    part = f'<div class="{name}"><p>This text is as dense as any, and yet it is none of what the page is about, so it goes.</p></div>'
+    text = text_density.main_text(f"<html><body><div>{BODY}</div>{part}</body></html>")
+    assert "as dense as any" not in text and "Paragraph 5" in text
+
+
+def test_stray_end_tags_take_linear_time():
+    def seconds(n):
+        page = "<div>" * n + "</span>" * n + "text" + "<p><b>" * n
+        started = time.perf_counter()
+        text_density.Page(page)
+        return time.perf_counter() - started
+
+    seconds(100)
+    assert seconds(16000) < 16 * max(0.02, seconds(2000))
+
+
+def density_by_definition(page):
+    """Composite density of every element, each counted from scratch over all it holds."""
+    n = len(page.tag)
+    above = [[] for _ in range(n)]
+    for i in range(1, n):
+        above[i] = [page.parent[i], *above[page.parent[i]]]
+    size = lambda texts: sum(len("".join(t.split())) for t in texts)
+    whole = [(i, t) for i, t in page.texts if not page.dropped[i]]
+    linked = lambda i: page.tag[i] == "a" or any(page.tag[j] == "a" for j in above[i])
+    all_chars, all_linked = size(t for _, t in whole), size(t for i, t in whole if linked(i))
+    out = []
+    for node in range(n):
+        below = [i for i in range(n) if node in above[i] and not page.dropped[i]]
+        mine = [(i, t) for i, t in whole if i == node or node in above[i]]
+        c, lc = size(t for _, t in mine), size(t for i, t in mine if linked(i))
+        if not c or page.dropped[node]:
+            out.append(0.0)
+            continue
+        t, lt = max(1, len(below)), max(1, sum(page.tag[i] == "a" for i in below))
+        base = math.log(c / max(1, c - lc) * lc + all_linked / max(1, all_chars) * c + math.e)
+        out.append(c / t * max(0.0, math.log(c / max(1, lc) * t / lt)) / math.log(base) if base > 1.001 else c / t * (1 + max(0.0, math.log(c / max(1, lc) * t / lt))))
+    return out, [sum(d for i, d in enumerate(out) if page.parent[i] == node) for node in range(n)]
+
+
+def test_densities_by_definition():
+    rng = random.Random(8)
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.randint(1, 40)):
+            name = rng.choice(["div", "p", "a", "ul", "li", "section", "b"])
+            parts.append(rng.choice([f"<{name}>", f"<{name}>", f"</{name}>", sentence(rng, rng.randint(1, 9)), "<nav>menu</nav>"]))
+        page = text_density.Page("".join(parts))
+        for got, want in zip(page.densities(), density_by_definition(page), strict=True):
+            assert got == pytest.approx(want)
+
+
+def test_text_density_without_rows(spark):
+    empty = spark.createDataFrame([], "page_id bigint, url string, html string, n_chars int")
+    assert text_density.extract(empty).collect() == []
+
+
 @pytest.mark.parametrize("cut", ["<", "<a", '<a href="x', "<!--", "</", "&am", "<script>", "<p", "<![CDATA["])
 def test_cut_pages(cut):
     assert text_density.main_text(f"<article><p>some text here</p>{cut}").startswith("some text here")

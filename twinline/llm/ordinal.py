@@ -14,6 +14,8 @@ from twinline.llm import textscan
 
 # Rated documents that the model is fitted on, those of lowest hash: the bound of what the driver holds.
 TRAINING_ROWS = 12000
+# How many times as many are expected to pass the cheap choice by hash, ahead of the exact one.
+MARGIN = 1.1
 BUCKETS = 1 << 17
 # Rated documents a feature must occur in.
 LEAST_DOCUMENTS = 3
@@ -104,7 +106,9 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for n, ids, docs in features(batch.column(2)):
             bounds = np.searchsorted(docs, np.arange(n + 1))
             found += [ids[a:b].astype("<u4").tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["doc_id", "grade", "x"])
+        part = pa.array(np.zeros(len(found), np.int32))
+        columns = [part, batch.column(0), batch.column(1), pa.array(found, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["part", "doc_id", "grade", "x"])
 
 
 def train(x: list[np.ndarray], grade: np.ndarray) -> Model | None:
@@ -148,16 +152,29 @@ def train(x: list[np.ndarray], grade: np.ndarray) -> Model | None:
 def fit(docs: DataFrame, ratings: DataFrame) -> Model | None:
     """A model of ``ratings(doc_id, grade)`` from the whole texts of ``docs``, on ``TRAINING_ROWS`` rated documents at most.
 
+    These are the rated rows of lowest hash of the id, ties by id, grade and features, so the bound holds however often one id comes.
+    They are brought together as hashed features and fitted in one task; only the model reaches the driver.
     Ratings of unknown documents, null or negative grades and null ids are left out; repeated ratings count each. None without two grades.
     """
     rated = ratings.filter("doc_id IS NOT NULL AND grade >= 0").select(F.col("doc_id").alias("rated"), F.col("grade").cast("int"))
     n = rated.count()
-    lowest = F.xxhash64("rated") / 2.0**64 + 0.5 < min(1.0, TRAINING_ROWS / max(1, n))
+    lowest = F.xxhash64("rated") / 2.0**64 + 0.5 < min(1.0, MARGIN * TRAINING_ROWS / max(1, n))
     chosen = docs.join(rated.filter(lowest), F.col("doc_id") == F.col("rated"))
     rows = chosen.select(F.col("doc_id").cast("bigint"), "grade", F.col("text").cast("string"))
-    found = rows.mapInArrow(_hashed, "doc_id bigint, grade int, x binary").toArrow().sort_by("doc_id")
-    x = [np.frombuffer(v.as_buffer(), dtype="<u4").astype(np.int64) for v in found["x"]]
-    return train(x, found["grade"].to_numpy().astype(np.int64)) if x else None
+    hashed = rows.mapInArrow(_hashed, "part int, doc_id bigint, grade int, x binary")
+    sample = hashed.orderBy(F.xxhash64("doc_id"), "doc_id", "grade", "x").limit(TRAINING_ROWS)
+    fitted = sample.groupBy("part").applyInArrow(_fitted, "weights binary, cuts binary").first()
+    return Model(np.frombuffer(fitted.weights, dtype="<f4"), np.frombuffer(fitted.cuts, dtype="<f8")) if fitted else None
+
+
+def _fitted(sample: pa.Table) -> pa.Table:
+    """A row with the model of hashed rated documents, none without a model."""
+    sample = sample.sort_by([("doc_id", "ascending"), ("grade", "ascending"), ("x", "ascending")])
+    x = [np.frombuffer(v.as_buffer(), dtype="<u4").astype(np.int64) for v in sample["x"]]
+    model = train(x, sample["grade"].to_numpy().astype(np.int64))
+    found = [] if model is None else [model]
+    weights = pa.array([m.weights.astype("<f4").tobytes() for m in found], pa.binary())
+    return pa.table({"weights": weights, "cuts": pa.array([m.cuts.astype("<f8").tobytes() for m in found], pa.binary())})
 
 
 def rate(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import html as entities
 import math
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -47,8 +48,16 @@ MARKS = frozenset(
     recommended recommendations share sharing social toolbar login search pagination pager skip complementary contentinfo alert
     alertdialog""".split()
 )
-# How sure a mark is: not at all, a word among others, a whole class or role, the tag of a page's head, in every case.
-NOT_MARKED, BY_WORD, BY_TOKEN, BY_TAG, ALWAYS = range(5)
+# Those that mean little beside other words, as in share-price or search-results.
+VAGUE = frozenset(
+    """alert discussion login menu menus navigation notice notices overlay pager related reply replies respond search share sharing skip
+    social subscription toolbar widget widgets""".split()
+)
+# Names of reader comments: whole, or before a hyphen or underscore.
+COMMENTS = re.compile(r"(?:comments?|comment-?list|disqus|replies|respond)(?:[-_].*)?", re.IGNORECASE)
+# How sure a mark is: not at all, a vague word among others, another word, a whole class or role, reader comments, the tag of a
+# page's head, in every case.
+NOT_MARKED, BY_VAGUE_WORD, BY_WORD, BY_TOKEN, BY_COMMENT, BY_TAG, ALWAYS = range(7)
 HEADS = frozenset(["header", "heading", "topbar"])
 # Never dropped for their marks: they hold the page or the article.
 HOLDERS = frozenset(["html", "body", "article", "main"])
@@ -59,10 +68,11 @@ class Page:
     """The elements of a page in page order, and the text blocks that are not marked as something else."""
 
     def __init__(self, html: str):
-        self.tag, self.parent, self.dropped, self.titled = ["root"], [-1], [False], [False]
+        self.tag, self.parent, self.dropped = ["root"], [-1], [False]
         self.marked, self.inside = [NOT_MARKED], [False]
         self.texts: list[tuple[int, str]] = []
         self.stack = [0]
+        self.depths: defaultdict[str, list[int]] = defaultdict(list)  # where elements of a name are on the stack
         at, low = 0, None
         for token in iter(lambda: TOKEN.search(html, at), None):
             if token.start() > at:
@@ -89,7 +99,7 @@ class Page:
         self.texts.append((self.stack[-1], entities.unescape(text) if "&" in text else text))
 
     def _start(self, name: str, attributes: str) -> None:
-        if name in ("html", "body") and any(self.tag[i] == name for i in self.stack):
+        if name in ("html", "body") and self.depths[name]:
             return
         if name in ENDS_P:
             self._close({"p"}, {"td", "th", "button", "table", "article", "section", "div", "li", "blockquote"})
@@ -102,11 +112,8 @@ class Page:
         self.dropped.append(False)
         self.inside.append(self.inside[up] or self.tag[up] in ("article", "main"))
         self.marked.append(self._mark(name, attributes, self.inside[node]))
-        self.titled.append(False)
-        if name == "h1":
-            for i in self.stack:
-                self.titled[i] = True
         if name not in VOID and not attributes.rstrip().endswith("/"):
+            self.depths[name].append(len(self.stack))
             self.stack.append(node)
         if name == "br":
             self.texts.append((node, " "))
@@ -117,8 +124,6 @@ class Page:
         """How sure tag and attributes are that an element is no main text."""
         if name in NEVER:
             return BY_WORD if name == "form" else ALWAYS
-        if name in HOLDERS:
-            return NOT_MARKED
         if name == "header" and not inside:
             return BY_TAG
         mark = NOT_MARKED
@@ -128,19 +133,24 @@ class Page:
                 return ALWAYS
             if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 return ALWAYS
-            if key in ("class", "id", "role"):
+            if key in ("class", "id", "role") and name not in ("html", "body", "main"):
+                if any(map(COMMENTS.fullmatch, value.split())):
+                    mark = BY_COMMENT
+                if name == "article":
+                    continue
                 if key != "id" and MARKS.intersection(value.lower().split()):
-                    mark = BY_TOKEN
-                words = {w.lower() for w in WORD.findall(value)}
-                if words & MARKS or not inside and words & HEADS:
-                    mark = max(mark, BY_WORD)
+                    mark = max(mark, BY_TOKEN)
+                words = {w.lower() for w in WORD.findall(value)} & (MARKS if inside else MARKS | HEADS)
+                if words:
+                    mark = max(mark, BY_VAGUE_WORD if words <= VAGUE else BY_WORD)
         return mark
 
     def _drop(self) -> None:
         """Drop marked elements with all they hold.
 
-        Not for its words: what holds an article, main or h1, or most of the page's unlinked characters; inside an article,
-        unless a whole class or role is the mark, what is not mostly links or thinner than the article.
+        Reader comments go whatever their length, unless they hold an article (but a comment), main or h1. For words of other kinds
+        nothing goes that holds one, or most of the page's unlinked characters. Vague words, and inside an article all that are
+        not a whole class or role, count only where the element is mostly links or thinner than the article, or than the page.
         """
         n = len(self.tag)
         never = [False] * n
@@ -160,7 +170,8 @@ class Page:
                 chars[up] += chars[i]
                 linked[up] += linked[i]
                 tags[up] += tags[i]
-                holds[up] |= holds[i] or self.tag[i] in ("article", "main", "h1")
+                own = self.tag[i] in ("article", "main", "h1") and self.marked[i] != BY_COMMENT
+                holds[up] |= holds[i] or own
         article = [0] * n  # nearest article or main around each element
         for i in range(1, n):
             up = self.parent[i]
@@ -170,26 +181,33 @@ class Page:
                 continue
             if self.marked[i] == BY_TAG:
                 self.dropped[i] = True
+            elif self.marked[i] == BY_COMMENT:
+                self.dropped[i] = not holds[i]
             elif not holds[i] and 2 * (chars[i] - linked[i]) <= chars[0] - linked[0]:
-                sure = self.marked[i] == BY_TOKEN or self.tag[i] == "form" or not self.inside[i]
+                sure = self.marked[i] == BY_TOKEN or self.tag[i] == "form" or not self.inside[i] and self.marked[i] == BY_WORD
                 outer = article[i]
-                thin = chars[i] * tags[outer] < chars[outer] * tags[i]
+                thin = chars[i] * tags[outer] < chars[outer] * max(1, tags[i] - 1)  # its own tag does not make it thinner
                 self.dropped[i] = sure or thin or 2 * linked[i] > chars[i]
 
+    def _innermost(self, names: Iterable[str]) -> int:
+        """Where the innermost open element of one of these names is on the stack; 0 if none is open."""
+        return max((self.depths[name][-1] for name in names if self.depths.get(name)), default=0)
+
+    def _cut(self, depth: int) -> None:
+        """End the elements from this place of the stack on."""
+        for node in self.stack[depth:]:
+            self.depths[self.tag[node]].pop()
+        del self.stack[depth:]
+
     def _close(self, names: set[str], scopes: set[str]) -> None:
-        for depth in range(len(self.stack) - 1, 0, -1):
-            tag = self.tag[self.stack[depth]]
-            if tag in names:
-                del self.stack[depth:]
-                return
-            if tag in scopes:
-                return
+        depth = self._innermost(names)
+        if depth and depth > self._innermost(scopes - names):
+            self._cut(depth)
 
     def _end(self, name: str) -> None:
-        for depth in range(len(self.stack) - 1, 0, -1):
-            if self.tag[self.stack[depth]] == name:
-                del self.stack[depth:]
-                return
+        depth = self._innermost((name,))
+        if depth:
+            self._cut(depth)
 
     def densities(self) -> tuple[list[float], list[float]]:
         """Composite text density of each element, and the sum of its children's."""
@@ -282,8 +300,9 @@ def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages(page_id, url, html)``.
 
     Elements that say what they are (menus, footers, forms, scripts, adverts, comments and so on, by tag, class, id or role) are
-    left out. A form or a word of class, id or role does not count where the element holds an article, a heading h1 or most of
-    the page's unlinked text, nor inside an article where the word is only part of a name and the text as dense as the rest. For the others the density of characters per tag, adjusted for links, is summed over children; the container of
+    left out, reader comments whatever their length. A form or a word of class, id or role does not count where the element holds an
+    article, a heading h1 or (comments aside) most of the page's unlinked text, nor, if the word is vague or part of a name inside an
+    article, where the text is as dense as the rest. For the others the density of characters per tag, adjusted for links, is summed over children; the container of
     the largest sum and any other as dense as the thinnest element on its path to the root are the main text.
 
     Null html is empty, unclosed and cut tags end where HTML ends them, whole pages are read whatever their length. Rows are

@@ -13,6 +13,10 @@ from twinline.sources.scratch import materialize
 
 # Labelled URLs that trees are fitted on, chosen by hash: the bound of the fit.
 TRAINING_ROWS = 20000
+# How many times as many are expected to pass the cheap choice by hash, ahead of the exact one.
+MARGIN = 1.1
+# Parts of the labelled URLs, each of which is taught with suffix shares of the others.
+FOLDS = 5
 TREES = 20
 DEPTH = 4
 # Weight of the overall share of bad URLs in the share of a suffix.
@@ -85,37 +89,55 @@ def with_features(urls: DataFrame) -> DataFrame:
     return kept.withColumns({"top": F.substring_index(h, ".", -2), "site": site})
 
 
-def suffix_shares(labelled: DataFrame, suffix: str) -> DataFrame:
-    """Share of bad URLs by suffix, drawn to the overall share; one row for a suffix."""
-    overall = labelled.agg(F.avg("label")).first()[0] or 0.0
-    share = (F.sum("label") + PRIOR * overall) / (F.count("*") + PRIOR)
-    return labelled.groupBy(suffix).agg(share.alias(f"{suffix}_share")), overall
+def fold() -> Column:
+    """The part of the labelled URLs that a URL belongs to; copies of it belong to the same."""
+    return F.pmod(F.xxhash64("url", F.lit("fold")), F.lit(FOLDS)).cast("int")
 
 
-def with_shares(urls: DataFrame, shares: dict[str, tuple[DataFrame, float]]) -> DataFrame:
+def suffix_shares(labelled: DataFrame, suffix: str) -> tuple[DataFrame, float]:
+    """Share of bad URLs by suffix, drawn to the overall share, of all URLs (null ``fold``) and of those outside each fold."""
+    bad = F.sum(F.col("label") * F.col("copies"))
+    overall = labelled.agg(bad / F.sum("copies")).first()[0] or 0.0
+    parts = labelled.groupBy(suffix, fold().alias("fold")).agg(bad.alias("bad"), F.sum("copies").alias("n"))
+    whole = parts.groupBy(suffix).agg(F.sum("bad").alias("all_bad"), F.sum("n").alias("all_n"))
+    outside = parts.join(whole, suffix).select(suffix, "fold", (F.col("all_bad") - F.col("bad")).alias("bad"), (F.col("all_n") - F.col("n")).alias("n"))
+    every = whole.select(suffix, F.lit(None).cast("int").alias("fold"), F.col("all_bad").alias("bad"), F.col("all_n").alias("n"))
+    share = (F.col("bad") + PRIOR * overall) / (F.col("n") + PRIOR)
+    return outside.unionByName(every).select(suffix, "fold", share.alias(f"{suffix}_share")), overall
+
+
+def with_shares(urls: DataFrame, shares: dict[str, tuple[DataFrame, float]], outside: bool = False) -> DataFrame:
+    """URLs with the shares of their suffixes; ``outside`` leaves a URL's own fold out, for URLs that are themselves labelled."""
     for suffix, (table, overall) in shares.items():
-        urls = urls.join(table, suffix, "left").fillna({f"{suffix}_share": overall})
+        if outside:
+            urls = urls.withColumn("fold", fold()).join(table.filter("fold IS NOT NULL"), [suffix, "fold"], "left").drop("fold")
+        else:
+            urls = urls.join(table.filter("fold IS NULL").drop("fold"), suffix, "left")
+        urls = urls.fillna({f"{suffix}_share": overall})
     return urls
 
 
 def fit(labelled: DataFrame) -> tuple[GBTClassificationModel | None, dict[str, tuple[DataFrame, float]]]:
     """Trees and suffix shares from ``labelled(url, host, path, label)`` with label 1 for bad URLs.
 
-    Shares count all labelled rows; trees see ``TRAINING_ROWS`` of them at most, those of lowest hash. Without both labels there
-    is no model.
+    Shares count all labelled rows. Trees see ``TRAINING_ROWS`` labelled URLs at most, those of lowest hash, each weighted by its
+    copies, with the shares of the other folds: a URL's own label does not reach its features. Without both labels there is no model.
     """
-    rows = materialize(with_features(labelled), "labelled-urls")
+    counted = labelled.groupBy("url", "host", "path", "label").agg(F.count("*").alias("copies"))
+    rows = materialize(with_features(counted), "labelled-urls")
     shares = {s: (materialize(t, f"{s}-shares"), o) for s in ("top", "site") for t, o in [suffix_shares(rows, s)]}
     n, kinds = rows.agg(F.count("*"), F.count_distinct("label")).first()
     if kinds < 2:
         return None, shares
-    lowest = F.xxhash64("url") / 2.0**64 + 0.5 < min(1.0, TRAINING_ROWS / n)
-    chosen = with_shares(rows.filter(lowest), shares)
-    # a bounded sample in one order, so that reruns fit the same trees
+    lowest = F.xxhash64("url") / 2.0**64 + 0.5 < min(1.0, MARGIN * TRAINING_ROWS / n)
+    # bounded before anything is joined, and in one order, so that reruns fit the same trees
+    bounded = rows.filter(lowest).orderBy(F.xxhash64("url"), "url", "label").limit(TRAINING_ROWS)
+    chosen = with_shares(bounded, shares, outside=True)
     sample = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(chosen)
-    sample = sample.select("url", "features", F.col("label").cast("double")).coalesce(1).sortWithinPartitions("url", "label")
-    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, minInstancesPerNode=20, seed=1)
-    return trees.fit(sample.select("features", "label")), shares
+    sample = sample.select("url", "features", F.col("label").cast("double"), F.col("copies").cast("double").alias("weight"))
+    sample = sample.repartition(1).sortWithinPartitions("url", "label")
+    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, minInstancesPerNode=20, seed=1, weightCol="weight")
+    return trees.fit(sample.select("features", "label", "weight")), shares
 
 
 def judge(urls: DataFrame, rules: Sequence[tuple[str, str]], labelled: DataFrame) -> DataFrame:
@@ -123,12 +145,13 @@ def judge(urls: DataFrame, rules: Sequence[tuple[str, str]], labelled: DataFrame
 
     ``labelled(url, label)`` are the URLs that trees learn from, label 1 for bad ones; rows with a null in it are left out. Null URLs
     and those without ``://`` have empty host and path, fit no rule and are judged by the trees; without labels of both kinds ``bad`` is null and
-    they are allowed. Repeated rows are judged each. Columns of ``urls`` other than ``url`` pass through under their names, which
-    must not be one of the new ones.
+    they are allowed. Repeated rows are judged each. Columns of ``urls`` pass through under their names; one that has a name of the new
+    ones is replaced. No rows give no rows.
     """
     taught = labelled.filter("url IS NOT NULL AND label IS NOT NULL").select("url", F.col("label").cast("double"))
     model, shares = fit(taught.withColumns({"host": host(F.col("url")), "path": path(F.col("url"))}))
-    own = urls.select(F.struct(*urls.columns).alias("row"), "url")
+    carried = [c for c in urls.columns if c not in ("host", "path", "rule", "bad", "verdict")]
+    own = urls.select(F.struct(*carried).alias("row"), "url")
     split = own.withColumns({"host": host(F.col("url")), "path": path(F.col("url"))})
     known = split.withColumn("found", rule(F.col("host"), F.col("path"), rules))
     if model is None:
