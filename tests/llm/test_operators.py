@@ -281,6 +281,32 @@ def test_packing_shards_by_content(monkeypatch, spark):
     assert np.mean(meet) > 0.4  # by chance about 0.02
 
 
+def test_scores_are_bm25():
+    rng = np.random.default_rng(2)
+    docs = [np.append(rng.integers(10, 10 + 3 ** rng.integers(1, 6), rng.integers(0, 60)), 1).astype("<u2") for _ in range(50)]
+    texts = [Counter(d[:-1].tolist()) for d in docs]
+    mean = np.mean([max(1, len(d) - 1) for d in docs])
+    spread = Counter(t for text in texts for t in text)
+    index = packing.Index(docs)
+    assert 0 < len(index.dense) < len(spread)
+    for seed in range(50):
+        want = np.zeros(50)
+        for d, text in enumerate(texts):
+            norm = 1.2 * (1 - 0.75 + 0.75 * max(1, sum(text.values())) / mean)
+            for t in texts[seed]:
+                idf = math.log1p((50 - spread[t] + 0.5) / (spread[t] + 0.5))
+                want[d] += idf * text[t] * 2.2 / (text[t] + norm)
+        want[seed] = 0
+        assert index.scores(seed) == pytest.approx(want, rel=1e-5)
+
+
+def test_packing_splits_repeated_rows(monkeypatch, spark):
+    monkeypatch.setattr(packing, "SHARD_BYTES", 6000)
+    df = spark.range(3000).select(F.lit(5).alias("doc_id"), F.lit("one and the same row of a few words").alias("text"))
+    got = packing.pack(df, tokenizer_path()).filter("start = 0").groupBy(F.shiftright("sequence_id", 32)).count().collect()
+    assert sum(r["count"] for r in got) == 3000 and max(r["count"] for r in got) < 300
+
+
 def test_neighbours_by_any_term_and_no_repeats():
     heavy = [np.array([100 + i, 200 + i, 300 + i, *range(1000 + 40 * i, 1040 + 40 * i), 7, 1]) for i in range(3)]
     rest = [np.array([7, *range(5000 + 9 * i, 5009 + 9 * i), 1]) for i in range(40)]
