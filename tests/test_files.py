@@ -330,6 +330,58 @@ def test_part_files_are_read_by_number_and_counted_when_empty(spark, tmp_path):
     assert counts == {"part-00007.txt": 0, "part-99999.txt": 2, "part-100000.txt": 1, "part-100001.txt": 2}
 
 
+def test_a_finished_export_takes_the_place_of_an_earlier_one(spark, tmp_path, configured):
+    out = str(tmp_path / "out")
+    for words in (["x", "y"], ["z"]):
+        new = tmp_path / f"new-{words[0]}"
+        for word in words:
+            _file(new / f"{word}.txt", word)
+        scratch.put_in_place(spark, str(new), out)
+        assert sorted(f.name for f in (tmp_path / "out").iterdir() if not f.name.startswith(".")) == sorted(f"{w}.txt" for w in words)
+    assert sorted(f.name for f in tmp_path.iterdir() if f.name.startswith(("out", "new"))) == ["out"]
+
+    conf, folders = configured
+    plan = pipeline_from_config(conf)
+    corpora = build.read_corpora(spark, plan, folders)
+    broken = {**corpora, "b-corpus": corpora["b-corpus"].withColumn("tgt", F.raise_error(F.concat("src", F.lit(" is bad"))).cast("string"))}
+    with pytest.raises(Exception, match="is bad"):
+        build.run(spark, plan, broken, out, str(tmp_path / "state"))
+    assert (tmp_path / "out" / "z.txt").exists()  # what was there before
+    assert build.run(spark, plan, corpora, out, str(tmp_path / "state"))
+    assert not (tmp_path / "out" / "z.txt").exists()
+    stats = {r["source"]: r for r in spark.read.json(f"{out}/file=stats").collect()}
+    assert stats["b-corpus"]["added"] == 4 and stats["b-corpus"]["training_size"] == 36
+
+
+def test_changed_operators_count_where_asked(spark, tmp_path, configured):
+    conf, folders = configured
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+
+    def ran(filters, **options):
+        plan = pipeline_from_config({**conf, "filters": filters})
+        return build.run(spark, plan, build.read_corpora(spark, plan, folders), out, state, **options)
+
+    assert ran(["duplicates"], operators=True) and not ran(["duplicates"], operators=True)
+    assert ran([], operators=True) and ran([]) and not ran(["duplicates"])
+
+
+def test_named_corpora_and_searches_that_go_on(spark, tmp_path, configured, capsys):
+    conf, folders = configured
+    named = _file(tmp_path / "catalogue", f"Other\ten\tit\t/nowhere\nBooks\ten\tit\t{tmp_path}/a\n\nBooks\ten\tde\t/nowhere\n")
+    _file(tmp_path / "empty" / "note", "x")
+    conf["sources"] = ["opus://Books", "missing", {"source": "b-corpus"}, f"file://{tmp_path}/empty", f"file://{tmp_path}/none"]
+    config = _file(tmp_path / "named.json", json.dumps(conf))
+    cli(["find", "--config", config, f"--folder=b-corpus={folders['b-corpus']}", "--catalogue", named, "--text", "Hello number 1"])
+    out = capsys.readouterr().out
+    assert "opus://Books (src):2 => Hello number 1" in out and "b-corpus (src):1 => Hello number 1" in out
+    assert "cannot search missing" in out and f"cannot search file://{tmp_path}/empty" in out and f"cannot search file://{tmp_path}/none" in out
+    table = str(tmp_path / "hits")
+    cli(["find", "--config", config, "--catalogue", named, "--text", "Hello number 1", "--out", table])
+    assert spark.read.parquet(table).filter("source = 'opus://Books' AND side = 'src'").count() > 0
+    with pytest.raises(Exception, match="not four fields"):
+        catalogue.read_catalogue(spark, _file(tmp_path / "bad", "a\tb\n")).collect()
+
+
 def test_an_export_takes_the_place_of_an_earlier_one(spark, tmp_path):
     out = str(tmp_path / "out")
     for words in (["x", "y"], ["z"]):

@@ -175,15 +175,16 @@ def export_rest(built: Built, plan: Plan, corpora: Mapping[str, DataFrame], path
 
 
 def run(
-    spark: SparkSession, plan: Plan, corpora: Mapping[str, DataFrame], out: str, state: str, **options
+    spark: SparkSession, plan: Plan, corpora: Mapping[str, DataFrame], out: str, state: str, operators: bool = False, **options
 ) -> bool:
     """Build and export unless the corpora are those of the last successful run; tells whether it ran.
 
+    With ``operators``, a change of a corpus's filters, transforms, augmenters or weight counts as a change too.
     Everything is written beside ``out`` and takes its place when it is complete: a run that fails leaves the files of the
     one before. The fingerprint is stored after that, so a failed run is not mistaken for a finished one.
     """
-    names = manifest(spark, plan).select(F.col("name").alias("source"))
-    current = merge.source_fingerprint(names)
+    listed = manifest(spark, plan)
+    current = merge.chain_fingerprint(listed) if operators else merge.source_fingerprint(listed, "name")
     [verdict] = merge.sources_changed(current, read_state(spark, state)).collect()
     if not verdict["changed"]:
         return False

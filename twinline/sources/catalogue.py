@@ -56,6 +56,15 @@ def discover_corpora(spark: SparkSession, root: str, src_lang: str, tgt_lang: st
     )
 
 
+def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
+    """``pos, corpus, src_lang, tgt_lang, url`` from tab-separated lines of the last four, in the order of the file."""
+    lines = text.read_lines(spark, path).filter(F.trim("line") != "")
+    fields = F.split("line", "\t", -1)
+    wrong = F.raise_error(F.concat(F.lit("not four fields in catalogue line "), F.col("line_no").cast("string")))
+    checked = lines.select(F.col("line_no").alias("pos"), F.when(F.size(fields) == 4, fields).otherwise(wrong.cast("array<string>")).alias("f"))
+    return checked.select("pos", *[F.trim(F.col("f")[n]).alias(c) for n, c in enumerate(("corpus", "src_lang", "tgt_lang", "url"))])
+
+
 def resolve_corpora(catalogue: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """``corpus, src_lang, tgt_lang, url, matches``: the first entry of each corpus and language pair.
 
