@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from twinline.sources.scratch import materialize
 
 
+def _apart(column: str) -> Column:
+    """The column, computed, so that what was dealt by it is dealt anew for a join: an exchange of its own splits by skew."""
+    return (F.col(column) + F.lit(0)).alias(column)
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``edges(a, b)``: the smallest node it can reach.
 
@@ -24,11 +29,11 @@ def connected(edges: DataFrame) -> DataFrame:
             break
         before = state
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select(_apart("u"), F.least("u", "m").alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = materialize(large, "large-star")
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(smallest, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        moved = large.join(smallest.select(_apart("u"), "m"), "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = moved.unionByName(smallest.select("u", F.col("m").alias("v"))).distinct()
         current = materialize(small, "small-star")
     members = current.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -127,10 +127,13 @@ def digest(found: DataFrame) -> DataFrame:
 def masked(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = ("source", "lang")) -> DataFrame:
     """``docs`` with the live spans of each text replaced by ``MASK`` and ``n_chars`` counted anew.
 
-    Widely copied examples stay. Rows of one ``doc_id`` must have equal texts.
+    Widely copied examples stay. Spans go back to their rows by a hash of the text, so rows of one ``doc_id`` or of none
+    are masked each by its own text; a null text stays null, and no rows give none.
     """
-    found = find_secrets(docs, owner, repository).filter("n_live > 0").alias("f")
-    kept = docs.alias("d").join(found, F.col("d.doc_id") == F.col("f.doc_id"), "left")
+    # texts that are null have nothing to mask; they get different keys
+    key = F.coalesce(F.when(F.col("text").isNotNull(), F.xxhash64("text")), F.xxhash64("doc_id"))
+    found = find_secrets(docs.filter("text IS NOT NULL").withColumn("doc_id", key), owner, repository).filter("n_live > 0").alias("f")
+    kept = docs.withColumn("_key", key).alias("d").join(found, F.col("d._key") == F.col("f.doc_id"), "left")
     text = F.col("d.text")
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("done"))
 
