@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from twinline.__main__ import main as cli
+from twinline.operators import chain as chains
 from twinline.plans import build, search
 from twinline.plans.config import manifest, pipeline_from_config
 from twinline.sources import catalogue, scratch, text
@@ -309,6 +310,12 @@ def test_build_writes_the_weighted_corpora(spark, tmp_path, configured):
     sample = [r["value"] for r in spark.read.text(f"{out}/file=sample").collect()]
     assert len(sample) == 2 * (len(train) + 5) and " raw " in sample
     report = spark.read.json(f"{out}/file=rejections").collect()
+    plan = pipeline_from_config(json.dumps(conf))
+    corpora = build.read_corpora(spark, plan, folders)
+    wanted = [chains.rejection_report(corpora[c.name], c.chain) for c in plan.corpora if c.weight is None]
+    assert sorted((r["source"], str(r["reason"]), r["removed"]) for r in report if "reason" in r) == sorted(
+        (r["source"], str(r["reason"]), r["removed"]) for df in wanted for r in df.collect()
+    )
     assert {r["source"] for r in report} >= {conf["sources"][0]} and all(r["removed"] > 0 for r in report)
 
     conf["sources"] = [conf["sources"][2]]

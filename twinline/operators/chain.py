@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from twinline.functions import chars
 from twinline.operators.registry import Chain, Op
@@ -124,6 +124,22 @@ def preprocess(df: DataFrame, spec: Chain) -> DataFrame:
     return augment_fanout(transform_chain(kept, spec.transforms), spec.augmenters)
 
 
+def observed_preprocess(df: DataFrame, spec: Chain) -> tuple[DataFrame, Observation | None]:
+    """As ``preprocess``, with an observation of how many pairs each filter removes, credited to the first that matched.
+
+    The job that writes the pairs takes it on the way; None without filters. It has its numbers when that job has ended.
+    """
+    clean = clean_pairs(df, spec)
+    if not spec.filters:
+        return augment_fanout(transform_chain(clean, spec.transforms), spec.augmenters), None
+    names = dict.fromkeys(op.name for op in spec.filters)
+    seen = Observation()
+    judged = with_reason(clean, spec.filters)
+    judged = judged.observe(seen, *[F.count_if(F.col("reason") == name).alias(name) for name in names])
+    kept = judged.filter("reason IS NULL").drop("reason")
+    return augment_fanout(transform_chain(kept, spec.transforms), spec.augmenters), seen
+
+
 def rejection_report(df: DataFrame, spec: Chain, by: str = "source") -> DataFrame:
     """Pairs removed per corpus and filter, credited to the first filter that matched, with a total.
 

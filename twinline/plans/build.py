@@ -8,10 +8,10 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, Window, functions as F
 
 from twinline.operators import merge, selection
-from twinline.operators.chain import rejection_report
+from twinline.operators.chain import observed_preprocess
 from twinline.operators.mix import weighted_mix
 from twinline.plans.config import CATALOGUE_PREFIX, FOLDER_PREFIX, Plan, manifest
 from twinline.sources import catalogue as catalogues
@@ -30,6 +30,7 @@ class Built:
     pairs: DataFrame  # distinct pairs with ``split``
     stats: DataFrame  # lines added per corpus and split sizes
     weighted: DataFrame | None  # weighted corpora as they are
+    rejections: DataFrame | None = None  # pairs that filters removed, by corpus and filter, with a total of null ``reason``
 
 
 def corpus_folder(plan: Plan, name: str, folders: Mapping[str, str], listing: DataFrame | None = None) -> str:
@@ -90,8 +91,10 @@ def build_corpus(
         pairs = evaluation.withColumn("split", F.lit("val"))
         return Built(pairs, spark.createDataFrame([], "source string, added bigint"), as_they_are)
 
-    merged = merge.merge_corpora([(corpora[c.name], c.chain, c.weight) for c in plan.corpora])
+    watched = {c.name: observed_preprocess(corpora[c.name], c.chain) for c in plan.corpora if c.weight is None}
+    merged = reduce(DataFrame.unionByName, [df for df, _ in watched.values()])
     added = materialize(merged.withColumn("key", selection.pair_key(seed)), "merged")
+    removed = rejections(spark, {name: seen for name, (_, seen) in watched.items() if seen is not None})
     stats = merge.merge_stats(added, max_eval)
     if added.isEmpty():
         raise ValueError("no sources merged")
@@ -104,7 +107,7 @@ def build_corpus(
         pairs = added.withColumn("key", selection.pair_key(seed, "source", *unique))
         threshold = selection.nth_smallest_key(pairs, "key", size)
     split = F.when(F.col("key") <= F.lit(threshold), "val").otherwise("train")
-    return Built(pairs.withColumn("split", split), stats, as_they_are)
+    return Built(pairs.withColumn("split", split), stats, as_they_are, removed)
 
 
 def sentence_sample(built: Built, plan: Plan, seed: int | str = 0) -> DataFrame:
@@ -149,10 +152,16 @@ def mixed(built: Built, plan: Plan, seed: int | str = 0) -> DataFrame | None:
     return weighted_mix(materialize(renumbered(short), "numbered"), weights)
 
 
-def rejections(plan: Plan, corpora: Mapping[str, DataFrame]) -> DataFrame | None:
-    """Pairs that the filters removed from each merged corpus; None if no corpus has filters."""
-    reports = [rejection_report(corpora[c.name], c.chain) for c in plan.corpora if c.weight is None and c.chain.filters]
-    return reduce(DataFrame.unionByName, reports) if reports else None
+def rejections(spark: SparkSession, seen: Mapping[str, Observation]) -> DataFrame | None:
+    """``source, reason, removed`` as ``rejection_report`` has them, from what the writing job observed; None if no corpus has filters."""
+    if not seen:
+        return None
+    rows = []
+    for name, observation in seen.items():
+        counts = {reason: n for reason, n in observation.get.items() if n}
+        rows += [(name, reason, n) for reason, n in counts.items()]
+        rows += [(name, None, sum(counts.values()))] if counts else []
+    return spark.createDataFrame(rows, "source string, reason string, removed bigint")
 
 
 def export(built: Built, path: str) -> None:
@@ -161,7 +170,7 @@ def export(built: Built, path: str) -> None:
     text.write_parallel(built.pairs, path, order, split=F.col("split"))
 
 
-def export_rest(built: Built, plan: Plan, corpora: Mapping[str, DataFrame], path: str, seed: int | str = 0) -> None:
+def export_rest(built: Built, plan: Plan, path: str, seed: int | str = 0) -> None:
     """Beside the splits: the mix (``file=src-mix``, ``file=tgt-mix``), the sentence sample and, as JSON, added lines with
     split sizes and the rejections."""
     mix = mixed(built, plan, seed)
@@ -169,9 +178,8 @@ def export_rest(built: Built, plan: Plan, corpora: Mapping[str, DataFrame], path
         text.write_parallel(mix, path, ["position"], split="mix", mode="append")
     sentence_sample(built, plan, seed).select("text").write.text(f"{path}/file=sample")
     built.stats.write.json(f"{path}/file=stats")
-    report = rejections(plan, corpora)
-    if report is not None:
-        report.write.json(f"{path}/file=rejections")
+    if built.rejections is not None:
+        built.rejections.write.json(f"{path}/file=rejections")
 
 
 def run(
@@ -191,7 +199,7 @@ def run(
     built = build_corpus(spark, plan, corpora, **options)
     staging = f"{out.rstrip('/')}.{uuid.uuid4().hex}"
     export(built, staging)
-    export_rest(built, plan, corpora, staging, options.get("seed", 0))
+    export_rest(built, plan, staging, options.get("seed", 0))
     scratch.put_in_place(spark, staging, out)
     current.write.mode("overwrite").parquet(state)
     return True

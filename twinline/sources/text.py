@@ -31,7 +31,8 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """``line_no, line, n_lines``: the 1-based position over all files of ``path``, part files by their number.
 
     The scan numbers its rows per partition; counting the rows of each file block and summing the
-    counts of earlier blocks turns that into positions, without moving a line.
+    counts of earlier blocks turns that into positions, without moving a line. Lines and counts come from two scans,
+    which the planner packs alike; a line that does not lie in its block as counted is an error.
     """
     raw = _scan(spark, path).select(
         F.validate_utf8("value").alias("line"),
@@ -45,11 +46,15 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     placed = blocks.select(
         "file",
         "block",
-        (F.coalesce(F.sum("rows").over(earlier), F.lit(0)) - F.col("first_id") + 1).alias("shift"),
+        F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"),
+        "first_id",
+        "rows",
         F.sum("rows").over(everything).alias("n_lines"),
     )
-    numbered = raw.join(placed, ["file", "block"])
-    return numbered.select((F.col("id") + F.col("shift")).alias("line_no"), "line", "n_lines")
+    place = F.col("id") - F.col("first_id") + 1
+    wrong = F.raise_error(F.concat(F.lit("lines and counts were packed differently in "), F.col("file"))).cast("bigint")
+    line_no = F.col("before") + F.when(place.between(1, F.col("rows")), place).otherwise(wrong)
+    return raw.join(placed, ["file", "block"]).select(line_no.alias("line_no"), "line", "n_lines")
 
 
 def same_root(file: Column) -> Column:
