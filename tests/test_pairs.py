@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import random
 from collections import Counter
+from html.entities import html5
 
 import pytest
 from pyspark.sql import functions as F
@@ -211,6 +212,21 @@ def test_html_references(spark):
     assert [tuple(r) for r in got] == [("A & B", "<b> 'x' … &quot; &bogus; &"), ("none", None)]
 
 
+def test_html_references_agree_with_python(spark):
+    """Every name and every number up to a whole plane and around the edges, then random texts of their parts."""
+    rng = random.Random(3)
+    names = [f"&{name}{end}" for name in html5 for end in ("", "x&amp", ";")]
+    numbers = [*range(0, 0x300), *range(0xD7F0, 0xE010), *range(0xFDC0, 0xFE00), *range(0xFEF0, 0x10010)]
+    numbers += [0x1F600, 0x1FFFE, 0x10FFFE, 0x10FFFF, 0x110000, 10**8, 2**64]
+    parts = [*"&#;xX019aA mptlgq\n\té<", "amp", "not", "quot", "&#x", "&#", "&#00000000065"]
+    mixed = ["".join(rng.choices(parts, k=rng.randint(0, 20))) for _ in range(5000)]
+    texts = names + [f"&#{n};" for n in numbers] + [f"a&#X{n:x}" for n in numbers] + mixed
+    pairs = spark.createDataFrame(list(enumerate(texts)), "n int, s string")
+    recoded = transforms.recode_html_escape_chars(F.col("s"), F.col("s"))[0]
+    for row in pairs.select("n", recoded.alias("got")).collect():
+        assert row["got"] == html.unescape(texts[row["n"]]), texts[row["n"]]
+
+
 def _punctuation(s, t, marks="?!."):
     if " " in s or " " in t or not s or not t:
         return []

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import html
 from collections.abc import Iterable
+from html.entities import html5
 
-import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
 from twinline.functions import chars
 
@@ -15,6 +14,8 @@ Pair = tuple[Column, Column]
 # Mark pairs counted together (an odd total drops both) and bracket kinds that must balance.
 TWO_SIDED_QUOTES = ("“”", "«»")
 BRACKETS = ("[]", "()", "{}")
+# Fixed value: what stands for a number that is no character.
+REPLACEMENT = "\ufffd"
 
 
 def _occurrences(text: Column, marks: str) -> Column:
@@ -65,15 +66,77 @@ def first_case_normalize(src: Column, tgt: Column) -> Pair:
     return src, fixed
 
 
-@F.pandas_udf(T.StringType())
-def _unescape(text: pd.Series) -> pd.Series:
-    return text.map(html.unescape, na_action="ignore")
+def _named_references() -> Column:
+    """The standard's names, each with its semicolon, in one map per first letter: a look-up walks one letter's names."""
+    by_letter: dict[str, list[str]] = {}
+    for name, characters in html5.items():
+        if name.endswith(";"):
+            by_letter.setdefault(name[0], []).append(f"{name}\x1f{characters}")
+    maps = [
+        (F.lit(letter), F.str_to_map(F.lit("\x1e".join(names)), F.lit("\x1e"), F.lit("\x1f")))
+        for letter, names in by_letter.items()
+    ]
+    return F.create_map(*[part for pair in maps for part in pair])
+
+
+def _named(piece: Column, names: Column) -> Column:
+    """``piece`` follows an ampersand. Old names also count without a semicolon, the longest that fits."""
+
+    def characters(name: Column) -> Column:
+        return F.try_element_at(F.try_element_at(names, F.left(name, F.lit(1))), name)
+
+    old = sorted((name for name in html5 if not name.endswith(";")), key=len, reverse=True)
+    whole, short = F.regexp_extract(piece, "^[A-Za-z0-9]{1,32};", 0), F.regexp_extract(piece, f"^(?:{'|'.join(old)})", 0)
+    return F.coalesce(
+        F.concat(characters(whole), F.substr(piece, F.length(whole) + 1)),
+        F.concat(characters(F.concat(short, F.lit(";"))), F.substr(piece, F.length(short) + 1)),
+        F.concat(F.lit("&"), piece),
+    )
+
+
+def _numeric(piece: Column) -> Column:
+    """``piece`` follows an ampersand and starts with a number sign."""
+    whole = F.regexp_extract(piece, "^#(?:[0-9]+|[xX][0-9a-fA-F]+);?", 0)
+    digits, base = F.regexp_extract(whole, "^#[xX]?0*([0-9a-fA-F]*)", 1), F.lower(F.substring(whole, 2, 1))
+    in_range = F.length(digits) <= 8
+    code = F.when(in_range & (base == "x"), F.conv(digits, 16, 10)).when(in_range, F.conv(digits, 10, 10))
+    number = F.when(digits == "", 0).otherwise(F.coalesce(code.cast("bigint"), F.lit(0x110000)))
+    # a byte order mark ahead keeps U+FEFF from being read as one
+    units = F.unhex(F.concat(F.lit("0000FEFF"), F.lpad(F.hex(number), 8, "0")))
+    character = F.decode(units, "UTF-32")
+    # Numbers of the C1 range mean the bytes of Windows-1252, where it has a character for them.
+    c1 = [chr(byte) for byte in range(0x80, 0xA0)]
+    windows = [bytes([ord(c)]).decode("cp1252", "replace").replace(REPLACEMENT, c) for c in c1]
+    without_character = (
+        (number.between(1, 0x1F) & ~number.isin(0x9, 0xA, 0xC, 0xD))
+        | (number == 0x7F)
+        | number.between(0xFDD0, 0xFDEF)
+        | (number % 0x10000 >= 0xFFFE)
+    )
+    read = (
+        F.when((number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF), REPLACEMENT)
+        .when(number.between(0x80, 0x9F), F.translate(character, "".join(c1), "".join(windows)))
+        .when(without_character, "")
+        .otherwise(character)
+    )
+    return F.when(whole == "", F.concat(F.lit("&"), piece)).otherwise(
+        F.concat(read, F.substr(piece, F.length(whole) + 1))
+    )
 
 
 def recode_html_escape_chars(src: Column, tgt: Column) -> Pair:
-    """Replace HTML character references; only texts with an ampersand reach Python."""
+    """Replace HTML character references, as HTML 5 reads them in text: numbers, names, old names without a semicolon.
+
+    A text is split at its ampersands; only what follows one can hold a reference. What is not one stays as it is.
+    """
+    names = _named_references()
+
+    def reference(piece: Column, place: Column) -> Column:
+        read = F.when(piece.startswith("#"), _numeric(piece)).otherwise(_named(piece, names))
+        return F.when(place == 0, piece).otherwise(read)
 
     def recode(side: Column) -> Column:
-        return F.coalesce(_unescape(F.when(side.contains("&"), side)), side)
+        pieces = F.transform(F.split(side, "&", -1), reference)
+        return F.when(side.contains("&"), F.array_join(pieces, "")).otherwise(side)
 
     return recode(src), recode(tgt)
