@@ -156,15 +156,42 @@ def test_topk(monkeypatch, spark, step):
     for name in ("CANDIDATES", "QUERIES", "SEEDS"):
         monkeypatch.setattr(topk, name, step)
     monkeypatch.setattr(topk, "STRIDE", 16)
-    rows, df = vectors_of(spark)
-    ints = {i: np.pad(np.floor(v * 64), (0, 8 - len(v))).astype(int) for i, v in clean(rows).items()}
+    rows, _ = vectors_of(spark)
+    lengths = np.random.default_rng(4).choice([0.1, 1.0, 1.0, 30.0], len(rows))
+    rows = [(i, v if v is None else [x if x is None else float(x * n) for x in v]) for (i, v), n in zip(rows, lengths, strict=True)]
+    rows += [(7, [40.0] * 8), (7, [-40.0] * 8), (20, [3.0] * 8), (20, [-2.0] * 8), *[(9, [35.0] * 8)] * 30]
+    df = spark.createDataFrame([(i, v, 3) for i, v in rows], "vec_id bigint, embedding array<double>, score int").repartition(3)
+    whole = [row for row in rows if clean([row])]
+    ints = [(i, np.pad(np.floor(np.array(v) * 64), (0, 8 - len(v))).astype(int)) for i, v in whole]
     expected = []
-    for q in sorted(i for i in ints if i % 20 == 0):
-        best = sorted((-int(ints[q] @ v), i) for i, v in ints.items() if i != q)[:20]
+    for q in sorted({i for i, _ in ints if i % 20 == 0}):
+        best = sorted((-int(w @ v), i) for o, w in ints if o == q for i, v in ints if i != q)[:20]
         expected += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
     assert sorted(map(tuple, topk.exact_topk(df, "vec_id % 20 = 0").collect())) == sorted(expected)
 
 
+def test_topk_blocks_that_never_meet(monkeypatch, spark):
+    """Queries that long vectors satisfy reach the first ranges of length only."""
+    for name in ("CANDIDATES", "QUERIES", "SEEDS"):
+        monkeypatch.setattr(topk, name, 50)
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=4) * 1.02 ** (i % 400)]) for i in range(800)]
+    written, write = {}, topk.materialize
+
+    def noted(frame, name):
+        written[name] = write(frame, name)
+        return written[name]
+
+    monkeypatch.setattr(topk, "materialize", noted)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = topk.exact_topk(df, "vec_id % 20 = 0").collect()
+    ints = {i: np.floor(np.array(v) * 64).astype(int) for i, v in rows}
+    for q in range(0, 800, 20):
+        best = sorted((-int(ints[q] @ v), i) for i, v in ints.items() if i != q)[:20]
+        assert sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == q) == [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    assert max(r.reach for r in written["queries"].collect()) < 12  # of 16 ranges
+
+
 def test_topk_with_few_candidates(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (2, [2.0])], "vec_id bigint, embedding array<double>")
     assert sorted(map(tuple, topk.exact_topk(df, "vec_id = 0").collect())) == [(0, 1, 1, 8192), (0, 2, 2, 8192)]
