@@ -382,6 +382,20 @@ def test_mixing_repeated_rows(docs):
     assert all(abs(r.t - r.w) <= 60 for r in by_source)
 
 
+def test_running_totals_in_blocks(monkeypatch, spark):
+    monkeypatch.setattr(mixing, "BLOCK_BITS", 2)
+    rng = np.random.default_rng(6)
+    keys = sorted({(s, int(rng.integers(0, 40)), int(rng.integers(0, 12))) for s in ("a", "b", "") for _ in range(200)})
+    rows = [(s or None, size, part, int(rng.integers(0, 1 << 30))) for s, size, part in keys]
+    expected, total = {}, Counter()
+    for s, size, part, mass in rows:
+        expected[s, size, part] = total[s]
+        total[s] += mass
+    df = spark.createDataFrame(rows, "source string, size bigint, part bigint, mass bigint").repartition(4)
+    got = mixing.running(df).collect()
+    assert len(got) == len(rows) and {(r.source, r["size"], r.part): r.base for r in got} == expected
+
+
 def test_balanced_rates_are_exponentially_tilted(spark):
     cells = spark.createDataFrame([("a", s, 10) for s in (1, 10, 100, 1000)], "source string, size bigint, n bigint")
     for share in (0.05, 0.6, 1.0, 2.0, 2.9):

@@ -17,6 +17,10 @@ CLOSE = 1e-9
 REPAIRS = ("many", "one", "many", "one", "one")
 # Documents of one source and size that are ranked together; larger cells are split.
 CELL = 512
+# Rates are whole numbers of 2**-RATE_BITS, so that running totals are exact in any order.
+RATE_BITS = 24
+# Running totals go over 2**BLOCK_BITS sizes, or parts of a size, at a time, then over such blocks.
+BLOCK_BITS = 10
 
 
 def word_count(text: Column) -> Column:
@@ -99,12 +103,36 @@ def balanced(cells: DataFrame, wanted: DataFrame) -> DataFrame:
     return state.select("source", "mean", "tilt", "flat")
 
 
+def running(parts: DataFrame) -> DataFrame:
+    """``source, size, part, base``: the ``mass`` of all parts of a source before each, by size and number.
+
+    Totals run over the parts of a block, over the blocks of a range of sizes and over the ranges of a source. The first hold at most
+    2**``BLOCK_BITS`` rows, the second as many sizes, and ranges grow with the longest document, not with the number of documents.
+    """
+
+    def before(by: Sequence[str], order: Sequence[str]) -> Column:
+        window = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("mass").over(window), F.lit(0))
+
+    block = {"range": F.shiftright("size", BLOCK_BITS), "block": F.shiftright("part", BLOCK_BITS)}
+    parts = materialize(parts.withColumns(block), "parts")
+    blocks = parts.groupBy("source", "range", "size", "block").agg(F.sum("mass").alias("mass"))
+    ranges = blocks.groupBy("source", "range").agg(F.sum("mass").alias("mass"))
+    ranges = ranges.select("source", "range", before(["source"], ["range"]).alias("in_source")).alias("r")
+    blocks = blocks.withColumn("in_range", before(["source", "range"], ["size", "block"])).alias("b")
+    parts = parts.withColumn("in_block", before(["source", "size", "block"], ["part"])).alias("p")
+    of_range = F.equal_null("b.source", "r.source") & (F.col("b.range") == F.col("r.range"))
+    of_block = F.equal_null("p.source", "b.source") & (F.col("p.size") == F.col("b.size")) & (F.col("p.block") == F.col("b.block"))
+    base = F.col("in_source") + F.col("in_range") + F.col("in_block")
+    return parts.join(blocks.join(ranges, of_range), of_block).select("p.source", "p.size", "p.part", base.alias("base"))
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1)) -> DataFrame:
     """``doc_id, repeat, source, size, source_size, target, copies, taken`` for every row of ``docs(doc_id, text, source)``.
 
     Sizes are words. The rates of a source are ``rate(tilt * size / mean size)`` with the tilt that meets its target
     (``balanced``). Copies are rates rounded by systematic sampling in order of size, so that a source's words miss its
-    target by about its longest document at most: counts per source, size and part of a cell give running totals, and only
+    target by about its longest document at most: parts of a source and size give running totals (``running``), and only
     a part's documents are ranked together. ``taken`` is copies times size, at most ``MOST`` times size.
 
     Repeated rows are rounded each on its own; null text has size 0; a null source is a source, sorted last. Documents of size 0
@@ -122,21 +150,18 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1)) -> DataFrame:
     rated = cells.join(tilts, F.equal_null("source", "s")).drop("s")
     own_rate = F.coalesce("flat", rate(F.col("tilt"), F.col("size") / F.greatest("mean", F.lit(1e-300))))
     parts = F.ceil(F.col("n") / CELL).cast("bigint")
-    rated = rated.select("source", "size", own_rate.alias("rate"), parts.alias("parts"))
+    units = F.round(own_rate * (1 << RATE_BITS)).cast("bigint")
+    rated = rated.select("source", "size", units.alias("rate"), parts.alias("parts"))
     both = F.equal_null("d.source", "c.source") & (F.col("d.size") == F.col("c.size"))
     rows = sized.alias("d").join(rated.alias("c"), both).select("doc_id", "d.source", "d.size", "repeats", "rate", "parts")
     rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")))
     rows = rows.withColumn("repeat", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("repeats")))).drop("repeats", "parts")
     rows = materialize(rows, "rated")
-    groups = rows.groupBy("source", "size", "part").agg(F.count("*").alias("n"), F.first("rate").alias("rate"))
-    # one row for a size and part of a source: running totals of rates before each
-    before = Window.partitionBy("source").orderBy("size", "part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = groups.withColumn("base", F.coalesce(F.sum(F.col("n") * F.col("rate")).over(before), F.lit(0.0)))
+    offsets = running(rows.groupBy("source", "size", "part").agg(F.sum("rate").alias("mass")))
     same = F.equal_null("r.source", "o.source") & (F.col("r.size") == F.col("o.size")) & (F.col("r.part") == F.col("o.part"))
-    offsets = offsets.select("source", "size", "part", "base")
     placed = rows.alias("r").join(offsets.alias("o"), same).select("doc_id", "repeat", "r.source", "r.size", "r.part", "rate", "base")
     rank = F.row_number().over(Window.partitionBy("source", "size", "part").orderBy(F.xxhash64("doc_id", "repeat"), "doc_id", "repeat"))
-    upto = lambda k: F.floor(F.col("base") + k * F.col("rate") + 0.5)
+    upto = lambda k: F.shiftright(F.col("base") + k * F.col("rate") + (1 << RATE_BITS - 1), RATE_BITS)
     copies = F.least(F.lit(MOST), (upto(F.col("k")) - upto(F.col("k") - 1))).cast("bigint")
     counted = placed.withColumn("k", rank).withColumn("copies", copies).select("doc_id", "repeat", "source", "size", "copies")
     out = repaired(materialize(counted, "copies"), wanted).alias("m").join(wanted.alias("w"), F.equal_null("m.source", "w.source"))
