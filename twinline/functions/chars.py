@@ -87,6 +87,14 @@ def whitespace() -> str:
     return "".join(map(chr, _matching(str.isspace)))
 
 
+@cache
+def single_capitals() -> dict[str, str]:
+    """Letters whose ``str.upper`` is several characters, with the one whose small letter they are, or else themselves."""
+    long = _matching(lambda c: len(c.upper()) > 1)
+    capital = {chr(cp).lower(): chr(cp) for cp in _matching(str.istitle)}
+    return {chr(cp): capital.get(chr(cp), chr(cp)) for cp in long}
+
+
 def strip(text: Column) -> Column:
     """``str.strip``: linear in the text, unlike an anchored regex over long inner blanks."""
     return F.trim(text, F.lit(whitespace()))

@@ -52,15 +52,24 @@ def remove_chars(src: Column, tgt: Column, chars: Iterable[str] = ()) -> Pair:
     return src, tgt
 
 
-def first_case_normalize(src: Column, tgt: Column) -> Pair:
-    """Give the first letter of ``tgt`` the case of the first letter of ``src``."""
+def first_case_normalize(src: Column, tgt: Column, one_letter: bool = False) -> Pair:
+    """Give the first letter of ``tgt`` the case of the first letter of ``src``.
+
+    Some letters have several as their capital (``ß``: ``SS``). With ``one_letter`` one letter stays one: it becomes the
+    single capital of which it is the small letter (``ẞ``), or stays as it is where there is none.
+    """
     first, rest = F.substring(tgt, 1, 1), F.right(tgt, F.length(tgt) - 1)
+    raised_first, lowered_first = F.upper(first), F.lower(first)
+    if one_letter:
+        capitals = F.create_map(*[F.lit(c) for pair in chars.single_capitals().items() for c in pair])
+        raised_first = F.coalesce(F.try_element_at(capitals, first), raised_first)
+        lowered_first = F.substring(lowered_first, 1, 1)
     both_letters = chars.starts_with_class(src, chars.alpha()) & chars.starts_with_class(tgt, chars.alpha())
     raised = chars.starts_with_class(src, chars.upper()) & ~chars.starts_with_class(tgt, chars.upper())
     lowered = chars.starts_with_class(src, chars.lower()) & ~chars.starts_with_class(tgt, chars.lower())
     fixed = (
-        F.when(both_letters & raised, F.concat(F.upper(first), rest))
-        .when(both_letters & lowered, F.concat(F.lower(first), rest))
+        F.when(both_letters & raised, F.concat(raised_first, rest))
+        .when(both_letters & lowered, F.concat(lowered_first, rest))
         .otherwise(tgt)
     )
     return src, fixed
