@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -10,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from twinline.llm import textscan
+from twinline.llm.batches import lean, release
 from twinline.sources.scratch import materialize
 
 # Words whose hash orders the places of a window; the smallest is its minimiser.
@@ -114,8 +116,10 @@ def distinct_texts(batch: pa.RecordBatch) -> tuple[list[bytes], pa.Array, np.nda
     keys = batch.column(0).to_pylist()
     place: dict[bytes, int] = {}
     row = [place.setdefault(k, len(place)) for k in keys]
-    firsts = np.unique(row, return_index=True)[1]
-    return list(place), batch.column(1).take(pa.array(firsts)), np.bincount(row, minlength=len(place))
+    texts = batch.column(1)
+    if len(place) < len(row):
+        texts = texts.take(pa.array(np.unique(row, return_index=True)[1]))
+    return list(place), texts, np.bincount(row, minlength=len(place))
 
 
 def _frequent(width: int):
@@ -148,7 +152,7 @@ def _frequent(width: int):
 
 def frequent_minimisers(texts: DataFrame, width: int) -> tuple[np.ndarray, int]:
     """Minimisers of more than one in ``SHARE`` super-k-mers, ``SHARE`` of them at most, and the bytes of all texts."""
-    parts = texts.mapInArrow(_frequent(width), "lead bigint, n bigint, bytes bigint")
+    parts = texts.mapInArrow(lean(_frequent(width)), "lead bigint, n bigint, bytes bigint")
     summed = materialize(parts.groupBy("lead").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes")), "minimisers")
     whole = summed.filter("lead IS NULL").first()
     if whole is None:
@@ -163,10 +167,11 @@ class Held:
 
     def __init__(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.heads: list[int] = []
-        self.counts: list[int] = []
-        self.loose: list[bool] = []
-        self.places: list[list[int]] = []  # text and first word, in turn
+        self.heads = array("Q")
+        self.counts = array("q")
+        self.loose = array("b")
+        # of each place: its string, text and first word
+        self.string, self.text, self.at = array("i"), array("i"), array("i")
         self.keys: list[bytes] = []
         self.size = 0
 
@@ -176,29 +181,34 @@ class Held:
             self.heads.append(head)
             self.counts.append(0)
             self.loose.append(loose)
-            self.places.append([])
             self.size += len(string)
         self.counts[i] += times
-        self.places[i] += (key, at)
+        self.string.append(i)
+        self.text.append(key)
+        self.at.append(at)
 
     def blobs(self, buckets: int) -> Iterator[pa.RecordBatch]:
         """A row for each bucket that something goes to."""
         if not self.heads:
             return
         codec = pa.Codec("zstd", compression_level=LEVEL)
-        heads = np.array(self.heads, dtype=np.uint64)
+        heads, counts, loose = np.array(self.heads), np.array(self.counts), np.array(self.loose)
+        owner = np.array(self.string)
+        number = np.bincount(owner, minlength=len(heads))
+        begin = np.cumsum(number) - number
+        places = np.argsort(owner, kind="stable")
+        refs = np.stack([np.array(self.text)[places], np.array(self.at)[places]], axis=1)
         bucket = heads % np.uint64(buckets)
         order = np.argsort(bucket, kind="stable")
         bounds = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0))
         strings = list(self.index)
         for chosen in np.split(order, bounds[1:]):
-            places = [self.places[i] for i in chosen]
-            counts = [self.counts[i] for i in chosen]
-            text = [strings[i] for i in chosen]
-            meta = np.array([list(map(len, text)), counts, [self.loose[i] for i in chosen], list(map(len, places))], dtype=np.int64)
-            refs = np.array([x for p in places for x in p], dtype=np.int64).reshape(-1, 2)
-            used, refs[:, 0] = np.unique(refs[:, 0], return_inverse=True)
-            raw = [meta.astype(np.int32).T.tobytes(), refs.astype(np.int32).tobytes(), b"".join(text)]
+            text = [strings[i] for i in chosen.tolist()]
+            n = number[chosen]
+            meta = np.stack([list(map(len, text)), counts[chosen], loose[chosen], 2 * n], axis=1)
+            part = refs[np.repeat(begin[chosen] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+            used, part[:, 0] = np.unique(part[:, 0], return_inverse=True)
+            raw = [meta.astype(np.int32).tobytes(), part.tobytes(), b"".join(text)]
             row = [
                 pa.array([int(bucket[chosen[0]])], pa.int64()),
                 pa.array([(heads[chosen] >> np.uint64(32)).astype(np.uint32).tobytes()], pa.binary()),
@@ -360,9 +370,10 @@ def repeated_spans(docs: DataFrame, width: int) -> DataFrame:
     texts = docs.filter("text IS NOT NULL").select(text_key(F.col("text")).alias("key"), "text")
     hot, size = frequent_minimisers(texts, width)
     buckets = max(1, -(-size // BUCKET_BYTES))
-    dealt = texts.mapInArrow(_dealt(width, hot, buckets), BLOBS)
+    dealt = texts.mapInArrow(lean(_dealt(width, hot, buckets)), BLOBS)
 
     def count(table: pa.Table) -> pa.Table:
+        release()
         return Bucket(table).spans(width)
 
     found = dealt.groupBy("bucket").applyInArrow(count, "key binary, first bigint, last bigint")
@@ -421,4 +432,4 @@ def remove_repeats(docs: DataFrame, width: int = 35) -> DataFrame:
                 names=["doc_id", "n_words", "n_removed", "text"],
             )
 
-    return joined.mapInArrow(run, "doc_id bigint, n_words bigint, n_removed bigint, text string")
+    return joined.mapInArrow(lean(run), "doc_id bigint, n_words bigint, n_removed bigint, text string")

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes scanned at once; one longer text is scanned alone.
-SCAN_BYTES = 1 << 22
+SCAN_BYTES = 1 << 20
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15
