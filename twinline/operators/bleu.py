@@ -29,7 +29,7 @@ PLAIN = (("<skipped>", ""), ("-\n", ""), ("\n", " "), ("&quot;", '"'), ("&amp;",
 SYMBOLS = "!\"#$%&()*+/:;<=>?@[\\]^_`{|}~"
 POINTS = ".,"
 # Bytes of sentences counted at once; one longer sentence is counted alone.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 SUMS = [f"matched_{n}" for n in range(1, ORDER + 1)] + [f"total_{n}" for n in range(1, ORDER + 1)] + ["ref_total_1"]
 
 
@@ -132,6 +132,9 @@ def _summed(blanks: str, limit: int):
                 to = max(at + 1, int(np.searchsorted(upto, before + limit, side="right")))
                 sums += block_sums(hyp.slice(at, to - at), ref.slice(at, to - at), blanks)
                 at = to
+            # else a worker keeps what its largest batch took
+            del batch, hyp, ref
+            pa.default_memory_pool().release_unused()
         yield pa.RecordBatch.from_arrays([pa.array([int(x)], pa.int64()) for x in sums], names=SUMS)
 
     return run
