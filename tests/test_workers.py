@@ -8,7 +8,7 @@ import tracemalloc
 import pyarrow as pa
 
 from twinline.functions import chars
-from twinline.operators import bleu
+from twinline.operators import bleu, subword
 
 
 def _lines(n_bytes: int) -> pa.Array:
@@ -31,3 +31,10 @@ def test_bleu_holds_little():
     batch = pa.RecordBatch.from_arrays([_lines(3 << 20), _lines(3 << 20)], names=["hyp", "ref"])
     run = bleu._summed(chars.blank(), bleu.BLOCK_BYTES)
     assert _peak(lambda: list(run(iter([batch])))) < 60
+
+
+def test_segmenting_holds_little(spark):
+    ranks = {(a, b): n for n, (a, b) in enumerate((a, b) for a in "abcdefgh" for b in "abcdefgh")}
+    run = subword._encoder(subword.Model(ranks), subword.BLOCK_BYTES).func
+    lines = _lines(4 << 20)
+    assert _peak(lambda: [len(x) for x in run(iter([lines]))]) < 40

@@ -30,7 +30,7 @@ EDGE = "\r\n "
 VERSIONS = ((0, 1), (0, 2))
 
 # Bytes of lines segmented at once; one longer line is segmented alone.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 
 @dataclass(frozen=True)
@@ -275,6 +275,9 @@ def _encoder(model: Model, limit: int) -> Callable[[Column], Column]:
                 parts.append(segmenter.lines(lines.slice(at, to - at)))
                 at = to
             yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.string()))
+            # else a worker keeps what its largest batch took
+            del lines, parts
+            pa.default_memory_pool().release_unused()
 
     return F.arrow_udf(encode, T.ArrayType(T.StringType()))
 
