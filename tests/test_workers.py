@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import random
 import tracemalloc
 
@@ -9,6 +11,9 @@ import pyarrow as pa
 
 from twinline.functions import chars
 from twinline.operators import bleu, subword
+from workload import views
+
+SF = "/root/testdata/sf0.001"
 
 
 def _lines(n_bytes: int) -> pa.Array:
@@ -38,3 +43,18 @@ def test_segmenting_holds_little(spark):
     run = subword._encoder(subword.Model(ranks), subword.BLOCK_BYTES).func
     lines = _lines(4 << 20)
     assert _peak(lambda: [len(x) for x in run(iter([lines]))]) < 40
+
+
+def test_vocabulary_reads_the_texts_once(spark):
+    shown = io.StringIO()
+    with contextlib.redirect_stdout(shown):
+        views.model_vocabulary(spark, SF).explain()
+    assert shown.getvalue().count("FileScan parquet") == 1
+
+
+def test_vocabulary_in_one_job(spark):
+    merges = spark.createDataFrame([(0, "a", "b"), (1, "ab", "</w>")], "rank bigint, left string, right string")
+    known = lambda rows: subword.load_model(merges, vocab=spark.createDataFrame(rows, "token string, freq int")).vocab
+    assert known([]) is None
+    assert known([("zz", 3)]) == frozenset()
+    assert known([("ab", 3), ("ab@@", 2), ("zz", 1), ("b", 1)]) == {"ab", "ab@@"}

@@ -50,12 +50,16 @@ class Model:
         object.__setattr__(self, "origins", {left + right: (left, right) for left, right in worst_first})
 
 
-def _known_pieces(merges: DataFrame, vocab: DataFrame, separator: str) -> frozenset[str]:
-    """Vocabulary entries that a merge can give: only these decide anything, so they are at most two per merge."""
+def _known_pieces(merges: DataFrame, vocab: DataFrame, separator: str) -> frozenset[str] | None:
+    """Vocabulary entries that a merge can give: only these decide anything, so they are at most two per merge; None without entries.
+
+    One job: null stands for all other entries, so that asking whether there are any costs no pass of its own.
+    """
     symbol = F.concat("left", "right")
     forms = F.array(F.replace(symbol, F.lit(END), F.lit("")), F.concat(symbol, F.lit(separator)))
-    made = merges.select(F.explode(forms).alias("token")).distinct()
-    return frozenset(r["token"] for r in vocab.select("token").join(made, "token", "left_semi").collect())
+    made = merges.select(F.explode(forms).alias("token")).distinct().withColumn("known", F.col("token"))
+    found = [r["known"] for r in vocab.select("token").join(made, "token", "left").select("known").distinct().collect()]
+    return frozenset(token for token in found if token is not None) if found else None
 
 
 def load_model(
@@ -72,7 +76,7 @@ def load_model(
     if tuple(version) not in VERSIONS:
         raise NotImplementedError(f"merges version {version}")
     ranks = {(m["left"], m["right"]): m["rank"] for m in merges.select("rank", "left", "right").collect()}
-    known = None if vocab is None or vocab.isEmpty() else _known_pieces(merges, vocab, separator)
+    known = None if vocab is None else _known_pieces(merges, vocab, separator)
     return Model(ranks, tuple(version), known, tuple(glossaries), separator)
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -164,12 +163,10 @@ def merge_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def model_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     """``token, freq`` of frequent words and frequent beginnings of words, from ``token freq`` lines."""
-    counts = word_counts(spark, sf)
-    starts = [
-        counts.filter(F.length("word") > n).select(F.concat(F.left("word", F.lit(n)), F.lit("@@")).alias("word"), "freq")
-        for n in (1, 2, 3)
-    ]
-    tokens = reduce(DataFrame.unionByName, starts, counts).groupBy("word").agg(F.sum("freq").alias("freq"))
+    # words and beginnings in one pass: as separate branches each would read and count all texts again
+    starts = [F.when(F.length("word") > n, F.concat(F.left("word", F.lit(n)), F.lit("@@"))) for n in (1, 2, 3)]
+    forms = F.explode(F.array("word", *starts)).alias("word")
+    tokens = word_counts(spark, sf).select(forms, "freq").filter("word IS NOT NULL").groupBy("word").agg(F.sum("freq").alias("freq"))
     lines = tokens.select(F.concat_ws(" ", "word", F.col("freq").cast("string")).alias("line"))
     return models.read_bpe_vocab(lines, threshold=20)
 
