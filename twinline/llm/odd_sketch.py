@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from twinline.llm import textscan
+from twinline.llm.batches import lean
 from twinline.llm.components import connected
 from twinline.sources.scratch import materialize
 
@@ -107,7 +108,7 @@ def sketch_documents(docs: DataFrame, width: int, threshold: float) -> DataFrame
             )
 
     schema = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, bytes bigint, sketch binary, keys array<bigint>"
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(lean(run), schema)
 
 
 def grid(df: DataFrame, blocks: str, key: str) -> DataFrame:

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from twinline.llm import textscan
+from twinline.llm.batches import lean
 
 # Rated documents that the model is fitted on, those of lowest hash: the bound of what the driver holds.
 TRAINING_ROWS = 12000
@@ -161,7 +162,7 @@ def fit(docs: DataFrame, ratings: DataFrame) -> Model | None:
     lowest = F.xxhash64("rated") / 2.0**64 + 0.5 < min(1.0, MARGIN * TRAINING_ROWS / max(1, n))
     chosen = docs.join(rated.filter(lowest), F.col("doc_id") == F.col("rated"))
     rows = chosen.select(F.col("doc_id").cast("bigint"), "grade", F.col("text").cast("string"))
-    hashed = rows.mapInArrow(_hashed, "part int, doc_id bigint, grade int, x binary")
+    hashed = rows.mapInArrow(lean(_hashed), "part int, doc_id bigint, grade int, x binary")
     sample = hashed.orderBy(F.xxhash64("doc_id"), "doc_id", "grade", "x").limit(TRAINING_ROWS)
     fitted = sample.groupBy("part").applyInArrow(_fitted, "weights binary, cuts binary").first()
     return Model(np.frombuffer(fitted.weights, dtype="<f4"), np.frombuffer(fitted.cuts, dtype="<f8")) if fitted else None
@@ -208,7 +209,7 @@ def rate(docs: DataFrame, model: Model | None) -> DataFrame:
                 names=["doc_id", "expected_grade", "tails", "grade", "kept"],
             )
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)
 
 
 def select(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -223,4 +224,4 @@ def select(docs: DataFrame, model: Model | None) -> DataFrame:
                 scores.append(np.bincount(owner, weights=model.weights[ids], minlength=n))
             yield batch.filter(pa.array(model.tails(np.concatenate(scores))[:, -1] >= KEEP))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from twinline.llm.batches import lean, release
 from twinline.sources.scratch import materialize
 
 WINDOW = 2048
@@ -69,7 +70,7 @@ def token_rows(docs: DataFrame, path: str) -> DataFrame:
     size = F.coalesce(F.octet_length(text), F.lit(0)) + 16
     tie = F.pmod(F.xxhash64("doc_id", F.octet_length(text), F.monotonically_increasing_id()), F.lit((1 << 31) - 1))
     rows = docs.select(F.col("doc_id").cast("bigint"), size.cast("bigint").alias("size"), tie.cast("bigint").alias("tie"), text.alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, size bigint, tie bigint, ids binary")
+    return rows.mapInArrow(lean(run), "doc_id bigint, size bigint, tie bigint, ids binary")
 
 
 def _ids(column: pa.Array) -> list[np.ndarray]:
@@ -87,7 +88,7 @@ def _summed(rows: DataFrame, bins: int, count) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(sums[at], pa.int64())], names=["bin", "n"])
 
     out = np.zeros(bins, dtype=np.int64)
-    for r in rows.mapInArrow(run, "bin bigint, n bigint").groupBy("bin").agg(F.sum("n").alias("n")).collect():
+    for r in rows.mapInArrow(lean(run), "bin bigint, n bigint").groupBy("bin").agg(F.sum("n").alias("n")).collect():
         out[r["bin"]] = r["n"]
     return out
 
@@ -177,7 +178,7 @@ def content_shards(rows: DataFrame) -> tuple[np.ndarray, Shards]:
             yield pa.RecordBatch.from_arrays(columns, names=["size", "tie", *(f"k{k}" for k in range(KEYS))])
 
     schema = ", ".join(["size bigint", "tie bigint", *(f"k{k} bigint" for k in range(KEYS))])
-    keyed = materialize(rows.select("size", "tie", "ids").mapInArrow(run, schema), "shard-keys")
+    keyed = materialize(rows.select("size", "tie", "ids").mapInArrow(lean(run), schema), "shard-keys")
     shards, more = Shards(), True
     while more:
 
@@ -203,7 +204,7 @@ def sharded(rows: DataFrame, rank: np.ndarray, shards: Shards) -> DataFrame:
                 [pa.array(shard, pa.int32()), batch.column(0), batch.column(2)], names=["shard", "doc_id", "ids"]
             )
 
-    return rows.select("doc_id", "tie", "ids").mapInArrow(run, "shard int, doc_id bigint, ids binary")
+    return rows.select("doc_id", "tie", "ids").mapInArrow(lean(run), "shard int, doc_id bigint, ids binary")
 
 
 class Index:
@@ -310,6 +311,7 @@ def fill_windows(lengths: list[int], index: Index, window: int) -> Iterator[tupl
 
 def _pack(window: int):
     def run(table: pa.Table) -> pa.Table:
+        release()
         order = np.lexsort((np.arange(len(table)), table["doc_id"].to_numpy(zero_copy_only=False)))
         table = table.take(pa.array(order))
         shard = table["shard"][0].as_py()
